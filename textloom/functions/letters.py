@@ -7,6 +7,8 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from textloom.functions.arrays import let
+
 # Alphabets and relative letter frequencies of the reference
 # distributions, in the order of the alphabet.
 GERMAN_ALPHABET = "abcdefghijklmnopqrstuvwxyzßäöü"
@@ -40,26 +42,49 @@ def alphabet_letters(alphabet: str) -> list[str]:
     return sorted(set(unicodedata.normalize("NFC", alphabet.lower())))
 
 
-def letter_count(normalised: Column, letter: str) -> Column:
+def letter_count(normalised: Column, letter: Column) -> Column:
     """Occurrences of one letter in a normalised text, from byte lengths."""
-    rest = F.replace(normalised, F.lit(letter), F.lit(""))
-    width = len(letter.encode("utf-8"))
+    rest = F.replace(normalised, letter, F.lit(""))
     missing = F.octet_length(normalised) - F.octet_length(rest)
-    return (missing if width == 1 else missing / width).cast("long")
+    return (missing / F.octet_length(letter)).cast("long")
+
+
+def letter_counts(normalised: Column, alphabet: str) -> Column:
+    """Array of the occurrences of each letter, in the order of the alphabet."""
+    letters = F.array(*[F.lit(c) for c in alphabet])
+    return F.transform(letters, lambda c: letter_count(normalised, c))
 
 
-def letter_distance(counts: dict[str, Column], total: Column, lang_code: str) -> Column:
+def total(counts: Column) -> Column:
+    return F.aggregate(counts, F.lit(0).cast("long"), lambda acc, n: acc + n)
+
+
+def letter_distance(counts: Column, lang_code: str) -> Column:
     """L2 distance between the relative letter counts and those of a language.
 
-    ``total`` counts the letters of that language's alphabet only. A text
-    without any is compared as the zero vector.
+    ``counts`` follows the German alphabet, which begins with the English one.
+    Letters outside the alphabet of the language do not count. A text without
+    letters is compared as the zero vector.
     """
     alphabet, expected = DISTRIBUTIONS[lang_code]
+    shares = F.array(*[F.lit(x) for x in expected])
 
-    def squared(letter: str, share: float) -> Column:
-        actual = F.when(total > 0, counts[letter] / total).otherwise(0.0)
-        return (actual - share) * (actual - share)
+    def distance(own: Column) -> Column:
+        return let(
+            total(own),
+            lambda n: F.sqrt(
+                F.aggregate(
+                    F.zip_with(
+                        own,
+                        shares,
+                        lambda count, share: F.pow(
+                            F.when(n > 0, count / n).otherwise(0.0) - share, 2
+                        ),
+                    ),
+                    F.lit(0.0),
+                    lambda acc, square: acc + square,
+                )
+            ),
+        )
 
-    return F.sqrt(
-        sum((squared(c, f) for c, f in zip(alphabet, expected, strict=True)), F.lit(0.0))
-    )
+    return let(F.slice(counts, 1, len(alphabet)), distance)

@@ -90,16 +90,10 @@ def has_category(token: Column, categories: Sequence[str]) -> Column:
     return token.rlike("[" + "".join(LETTER_CATEGORIES[c] for c in categories) + "]")
 
 
-def tokens(
-    text: Column,
-    min_length: int = 2,
-    categories: Sequence[str] = (),
-    stopwords: Sequence[str] = (),
-) -> Column:
+def tokens(text: Column, min_length: int = 2, categories: Sequence[str] = ()) -> Column:
     """Lower-cased words that pass the filters, in order.
 
-    The category is tested on the original case, stop words on the lower-cased
-    word. ``stopwords`` is a literal set, so it has to be small.
+    The category is tested on the original case.
     """
 
     def keep(w: Column) -> Column:
@@ -108,10 +102,19 @@ def tokens(
             ok = ok & has_category(w, categories)
         return ok
 
-    kept = F.transform(F.filter(words(text), keep), F.lower)
-    if stopwords:
-        kept = F.filter(kept, lambda w: ~w.isin(list(stopwords)))
-    return kept
+    return F.transform(F.filter(words(text), keep), F.lower)
+
+
+def without(tokens_column: str, stopwords: Sequence[str]) -> Column:
+    """The tokens of an array column that are no stop words.
+
+    The list becomes one SQL text, which is parsed at once: a column per word
+    would cost a call into the JVM each. Spark looks the words up in a hash set.
+    """
+    quoted = ", ".join(
+        "'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in stopwords
+    )
+    return F.expr(f"filter(`{tokens_column}`, w -> w NOT IN ({quoted}))")
 
 
 def ngrams(token_array: Column, n: int) -> Column:

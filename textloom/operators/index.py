@@ -40,20 +40,20 @@ def document_stats(docs: DataFrame, remote: str | Column) -> DataFrame:
         F.octet_length("content").cast("long").alias("size"),
         F.char_length(t).cast("long").alias("strlen"),
         F.col("mtime").cast("long").alias("mtime"),
-        F.lower(letters.nfc(t)).alias("folded"),
+        _folded_counts(t).alias("letters"),
     )
-    return _with_distances(measured).select(
+    stats = F.col("stats")
+    return measured.select(
         "remote",
         "path",
         "hash",
         "ppn",
         "doctype",
-        "dist_ger",
-        "dist_eng",
+        *_distances(F.col("letters")),
         "alpha",
         "alphanum",
-        F.col("stats.words").alias("words"),
-        F.when(F.col("stats.words") > 0, F.col("stats.bytes") / F.col("stats.words"))
+        stats["words"].alias("words"),
+        F.when(stats["words"] > 0, stats["bytes"] / stats["words"])
         .otherwise(0.0)
         .cast("float")
         .alias("avg_word_len"),
@@ -63,26 +63,13 @@ def document_stats(docs: DataFrame, remote: str | Column) -> DataFrame:
     )
 
 
-def _with_distances(df: DataFrame) -> DataFrame:
-    """Add dist_ger and dist_eng for the column ``folded`` (composed, then lower-cased)."""
-    names = {c: f"n{i}" for i, c in enumerate(letters.GERMAN_ALPHABET)}
-    kept = [c for c in df.columns if c != "folded"]
-    counted = df.select(
-        *kept, *[letters.letter_count(F.col("folded"), c).alias(n) for c, n in names.items()]
-    )
-    counts = {c: F.col(n) for c, n in names.items()}
-    totals = {
-        code: sum((counts[c] for c in alphabet), F.lit(0))
-        for code, (alphabet, _) in letters.DISTRIBUTIONS.items()
-    }
-    summed = counted.select("*", *[total.alias(f"total_{c}") for c, total in totals.items()])
-    return summed.select(
-        *kept,
-        *[
-            letters.letter_distance(counts, F.col(f"total_{c}"), c).alias(f"dist_{c}")
-            for c in letters.DISTRIBUTIONS
-        ],
-    )
+def _folded_counts(t: Column) -> Column:
+    # Composed, then lower-cased; the letter table does it the other way round.
+    return letters.letter_counts(F.lower(letters.nfc(t)), letters.GERMAN_ALPHABET)
+
+
+def _distances(counts: Column) -> list[Column]:
+    return [letters.letter_distance(counts, c).alias(f"dist_{c}") for c in letters.DISTRIBUTIONS]
 
 
 def lfreq(lang_code: Column) -> Column:
@@ -94,10 +81,8 @@ def lfreq(lang_code: Column) -> Column:
 
 def letter_distances(docs: DataFrame) -> DataFrame:
     """Path and both letter distances."""
-    folded = docs.select(
-        "path", F.lower(letters.nfc(text.decode(F.col("content")))).alias("folded")
-    )
-    return _with_distances(folded)
+    counted = docs.select("path", _folded_counts(text.decode(F.col("content"))).alias("letters"))
+    return counted.select("path", *_distances(F.col("letters")))
 
 
 def build_index(

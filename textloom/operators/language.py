@@ -55,11 +55,15 @@ class LanguageModel:
         if not 0 < len(languages) <= MAX_LANGUAGES:
             raise ValueError(f"between 1 and {MAX_LANGUAGES} languages are supported")
         codes = tuple(languages)
+        pairs = _bigram_rows(labelled, label).where(F.col("gram").isNotNull())
+        per_language = pairs.groupBy("gram", label).agg(F.count("*").alias("n"))
         counts = durable(
-            _bigram_rows(labelled, label)
-            .where(F.col("gram").isNotNull())
-            .groupBy("gram")
-            .agg(*[F.count_if(F.col(label) == c).alias(f"n{i}") for i, c in enumerate(codes)])
+            per_language.groupBy("gram").agg(
+                *[
+                    F.sum(F.when(F.col(label) == c, F.col("n")).otherwise(0)).alias(f"n{i}")
+                    for i, c in enumerate(codes)
+                ]
+            )
         )
         totals = counts.agg(
             F.count("*").alias("size"),
@@ -88,7 +92,7 @@ class LanguageModel:
             # All rows of a document are in one task, so the partial sums
             # leave one row per document for the shuffle.
             joined = grams.join(F.broadcast(self.weights), "gram", "left")
-            times = F.lit(1)
+            sums = [F.sum(s) for s in scores]
         else:
             # Too large to send around: count per document first, then join on
             # the bigram; adaptive execution splits frequent bigrams.
@@ -97,12 +101,9 @@ class LanguageModel:
                 .agg(F.count("*").alias("times"))
                 .join(self.weights, "gram", "left")
             )
-            times = F.col("times")
+            sums = [F.sum(s * F.col("times")) for s in scores]
         summed = joined.groupBy(key).agg(
-            *[
-                F.sum(F.when(F.col("gram").isNotNull(), s * times)).alias(f"s{i}")
-                for i, s in enumerate(scores)
-            ]
+            F.count("gram").alias("grams"), *[s.alias(f"s{i}") for i, s in enumerate(sums)]
         )
         best = F.array_max(
             F.array(
@@ -117,7 +118,7 @@ class LanguageModel:
             (F.exp(F.col(f"s{i}") - F.col("best.score")) for i in range(len(self.languages))),
             F.lit(0.0),
         )
-        known = F.col("best.score").isNotNull()
+        known = F.col("grams") > 0
         return picked.select(
             key,
             F.when(known, F.col("best.code")).alias("lang_code"),

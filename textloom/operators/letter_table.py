@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.functions.letters import DEFAULT_ALPHABET, alphabet_letters, letter_count, nfc
+from textloom.functions.letters import DEFAULT_ALPHABET, alphabet_letters, letter_counts, nfc, total
 from textloom.functions.text import decode_strict
 
 
@@ -17,6 +17,10 @@ def letter_table(docs: DataFrame, alphabet: str = DEFAULT_ALPHABET) -> DataFrame
     """
     letters = alphabet_letters(alphabet)
     folded = docs.select("path", nfc(F.lower(decode_strict(F.col("content")))).alias("folded"))
-    counted = folded.select("path", *[letter_count(F.col("folded"), c).alias(c) for c in letters])
-    total = sum((F.col(f"`{c}`") for c in letters), F.lit(0).cast("long"))
-    return counted.select("path", total.alias("total"), *[F.col(f"`{c}`") for c in letters])
+    counted = folded.select("path", letter_counts(F.col("folded"), "".join(letters)).alias("counts"))
+    counts = F.col("counts")
+    return counted.select(
+        "path",
+        total(counts).alias("total"),
+        *[F.get(counts, F.lit(i)).alias(c) for i, c in enumerate(letters)],
+    )

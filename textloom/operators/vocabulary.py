@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions.arrays import let
 from textloom.functions.text import decode, document_id
-from textloom.functions.words import has_category, ngrams, tokens, words
+from textloom.functions.words import has_category, ngrams, tokens, without, words
 from textloom.operators.lists import allow as allow_list
 from textloom.operators.lists import deny as deny_list
 from textloom.sources.readers import long_enough
@@ -74,18 +74,16 @@ def _count_in_rows(
     token of a third of all rows leaves one row per task. explode_outer keeps
     the optimizer from adding a size filter that would tokenise twice.
     """
-    found = ngrams(
-        tokens(decode(F.col("content")), min_token_len, categories, stopwords), n
-    )
+    kept = docs.select(tokens(decode(F.col("content")), min_token_len, categories).alias("kept"))
     counted = let(
-        found,
+        ngrams(without("kept", stopwords) if stopwords else F.col("kept"), n),
         lambda g: F.concat(
             F.transform(g, lambda w: _occurrence(w, 1, 0)),
             F.transform(F.array_distinct(g), lambda w: _occurrence(w, 0, 1)),
         ),
     )
     return (
-        docs.select(F.explode_outer(counted).alias("o"))
+        kept.select(F.explode_outer(counted).alias("o"))
         .select("o.*")
         .where(F.col("token").isNotNull())
         .groupBy("token")

@@ -189,7 +189,14 @@ def records(spark: SparkSession, sf: str) -> DataFrame:
             field("041A", F.lit(""), subfield("9", F.lit("0"))),
         ).alias("fields"),
     )
-    items = read_table(spark, sf, "lineitem").select(
+    lines = spread(
+        read_table(spark, sf, "lineitem").select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag"
+        ),
+        "l_orderkey",
+        "l_linenumber",
+    )
+    items = lines.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias(
             "record_id"
         ),
