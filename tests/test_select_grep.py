@@ -1,0 +1,104 @@
+import pytest
+from pyspark.sql import functions as F
+
+from textloom.operators.grep import grep
+from textloom.operators.lists import restrict_documents
+from textloom.operators.select import select
+
+ROWS = [
+    ("r", "data/book/1.txt", "1", "book", 10, "Straße ÉTÉ\nfoo"),
+    ("r", "data/book/2.txt", "2", "book", 20, "foo bar"),
+    ("r", "data/toc/3.txt", "3", "toc", 30, "Foo"),
+    ("s", "data/toc/4.txt", "4", "toc", 40, ""),
+]
+
+
+@pytest.fixture
+def index(spark):
+    rows = [(*r[:5], bytearray(r[5].encode())) for r in ROWS]
+    return spark.createDataFrame(
+        rows, "remote string, path string, ppn string, doctype string, size long, content binary"
+    )
+
+
+def listed(spark, *values, name="ppn"):
+    return spark.createDataFrame([(v,) for v in values], f"{name} string")
+
+
+def ppns(df):
+    return sorted(r["ppn"] for r in df.collect())
+
+
+def test_select(spark, index):
+    assert select(index, "ppn, size * 2 AS twice", "size > 20").columns == ["ppn", "twice"]
+    assert ppns(select(index, where="df.doctype = 'toc'")) == ["3", "4"]
+    assert ppns(select(index, allow=listed(spark, "1", "3", "3", "9"), deny=listed(spark, "3"))) == ["1"]
+    grouped = select(index, "doctype, count(*) AS n", "size > 10 GROUP BY doctype ORDER BY n", on="doctype")
+    assert [tuple(r) for r in grouped.collect()] == [("book", 1), ("toc", 2)]
+
+
+def test_lists_apply_to_the_selected_rows(spark, index):
+    limited = "size > 0 ORDER BY size LIMIT 2"
+    assert ppns(select(index, "ppn", limited, allow=listed(spark, "2", "3"))) == ["2"]
+
+
+def test_keys_need_not_be_selected(spark, index):
+    got = select(index, "path", allow=listed(spark, "2"))
+    assert [tuple(r) for r in got.collect()] == [("data/book/2.txt",)]
+
+
+def test_keys_of_other_names(spark, index):
+    pairs = spark.createDataFrame([("1", "toc"), ("3", "toc")], "id string, kind string")
+    got = select(index, allow=pairs, left_on="ppn, doctype", right_on="id, kind")
+    assert ppns(got) == ["3"]
+    assert ppns(select(index, deny=pairs, left_on="ppn", right_on="id")) == ["2", "4"]
+    with pytest.raises(ValueError):
+        select(index, left_on="ppn")
+    with pytest.raises(ValueError):
+        select(index, allow=pairs, left_on="ppn", right_on="id, kind")
+
+
+def test_a_list_made_from_the_index(index):
+    assert ppns(select(index, deny=index.where("size > 15"))) == ["1"]
+
+
+@pytest.mark.parametrize("bound", [0, 10])
+def test_restrict_documents(spark, index, bound):
+    chosen = restrict_documents(index, index.where("doctype = 'toc'"), bound)
+    assert ppns(chosen) == ["3", "4"]
+
+
+def test_grep(index):
+    assert ppns(grep(index, "foo")) == ["1", "2"]
+    assert ppns(grep(index, "foo", invert=True)) == ["3", "4"]
+    assert ppns(grep(index, "FOO", ignore_case=True)) == ["1", "2", "3"]
+    assert ppns(grep(index, "été", ignore_case=True)) == ["1"]
+    assert ppns(grep(index, r"Stra\wen")) == []
+    assert ppns(grep(index, r"Stra\we\s\w+")) == ["1"]
+    assert ppns(grep(index, "ÉTÉ.foo")) == []
+    assert "content" not in grep(index, "foo").columns
+
+
+@pytest.mark.parametrize(("limit", "expected"), [(6, ["2"]), (7, ["2"]), (2, []), (0, ["2"]), (99, ["2"])])
+def test_grep_prefix(index, limit, expected):
+    assert ppns(grep(index, "^foo", max_bytes=limit)) == expected
+
+
+def test_grep_options(spark, index):
+    docs = index.select("path", "content")
+    plain = index.drop("content")
+    got = grep(plain, "foo", docs, allow=listed(spark, "1", "2", "3"), deny=listed(spark, "1"))
+    assert ppns(got) == ["2"]
+    assert ppns(grep(plain, "foo", docs, where="size < 15")) == ["1"]
+    row = grep(index, "bar", doctype="ft", comment="ok", header="ppn, doctype, comment").first()
+    assert tuple(row) == ("2", "other", "ok")
+    with pytest.raises(ValueError):
+        grep(index, "x", doctype="wp")
+
+
+def test_grep_shuffles_paths_only(index):
+    docs = index.select("path", F.col("content"))
+    plan = grep(index.drop("content"), "foo", docs)._jdf.queryExecution().executedPlan().toString()
+    shuffled = [line for line in plan.splitlines() if "Exchange" in line]
+    assert shuffled
+    assert not any("content" in line for line in shuffled)
