@@ -78,11 +78,13 @@ def record_links(
             return values
         return F.when(rule.where(fields), values).otherwise(F.array().cast("array<string>"))
 
+    none = F.array().cast("array<string>")
     every = F.array_distinct(F.concat(*[targets(r) for r in rules]))
-    return (
-        records.where(~F.coalesce(record_filter(fields), F.lit(False)))
-        .select("record_id", F.explode_outer(every).alias("target"))
-        .where(F.col("target").isNotNull() & (F.col("target") != ""))
+    # The record filter is part of the array, not of a filter before it, so
+    # that nested fields are built once where they are computed.
+    linked = F.when(record_filter(fields), none).otherwise(every)
+    return records.select("record_id", F.explode_outer(linked).alias("target")).where(
+        F.col("target").isNotNull() & (F.col("target") != "")
     )
 
 

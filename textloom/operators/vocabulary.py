@@ -75,26 +75,18 @@ def _count_in_rows(
     the optimizer from adding a size filter that would tokenise twice.
     """
     kept = docs.select(tokens(decode(F.col("content")), min_token_len, categories).alias("kept"))
-    counted = let(
-        ngrams(without("kept", stopwords) if stopwords else F.col("kept"), n),
-        lambda g: F.concat(
-            F.transform(g, lambda w: _occurrence(w, 1, 0)),
-            F.transform(F.array_distinct(g), lambda w: _occurrence(w, 0, 1)),
-        ),
-    )
+    grams = ngrams(without("kept", stopwords) if stopwords else F.col("kept"), n)
+    # Position 0 holds all windows, position 1 each of them once.
+    both = let(grams, lambda g: F.array(g, F.array_distinct(g)))
     return (
-        kept.select(F.explode_outer(counted).alias("o"))
-        .select("o.*")
+        kept.select(F.posexplode_outer(both).alias("once", "grams"))
+        .select("once", F.explode_outer("grams").alias("token"))
         .where(F.col("token").isNotNull())
         .groupBy("token")
-        .agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+        .agg(F.sum(1 - F.col("once")).alias("tf"), F.sum("once").alias("df"))
     )
 
 
-def _occurrence(token, tf: int, df: int):
-    return F.struct(token.alias("token"), F.lit(tf).alias("tf"), F.lit(df).alias("df"))
-
-
 def _count_joined(
     docs: DataFrame, n: int, min_token_len: int, categories: Sequence[str], stopwords: DataFrame
 ) -> DataFrame:
