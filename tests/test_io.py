@@ -89,6 +89,16 @@ def test_corpus_files_and_snapshot(spark, tmp_path):
         writers.read_snapshot(spark, str(tmp_path / "nothing"))
 
 
+def test_write_index(spark, docs_of, tmp_path):
+    index = build_index(docs_of({"data/toc/1.txt": "one two"}), "shed")
+    writers.write_index(index, str(tmp_path / "index.parquet"))
+    back = readers.read_index(spark, str(tmp_path / "index.parquet"))
+    assert back.columns == index.columns
+    types = dict(back.dtypes)
+    assert (types["words"], types["size"], types["mtime"]) == ("tinyint", "tinyint", "int")
+    assert rows(back) == rows(index)
+
+
 def test_json(spark, tmp_path):
     index = spark.createDataFrame([("r", "toc", "1", "h", 3)], "remote string, doctype string, ppn string, hash string, size long")
     writers.write_json(summary_json(index), str(tmp_path / "summary"))

@@ -6,6 +6,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.operators.shrink import shrink_schema
+from textloom.session import durable
+
 
 def append_rows(existing: DataFrame, new: DataFrame) -> DataFrame:
     """Existing rows followed by new ones; columns must agree in name, order and type."""
@@ -37,6 +40,15 @@ def write_table(df: DataFrame, path: str, append: bool = False, default: str = "
     df.write.mode(mode).option("compression", "zstd").parquet(path)
 
 
+def write_index(index: DataFrame, path: str) -> None:
+    """Write an index with its integer columns narrowed.
+
+    The index is computed once, into a checkpoint; the extremes and the output
+    are read from there.
+    """
+    write_table(shrink_schema(durable(index)), path)
+
+
 def write_json(summary: DataFrame, path: str) -> None:
     """Write a frame of one string column as text."""
     summary.write.mode("overwrite").text(path)
