@@ -1,3 +1,6 @@
+import contextlib
+import io
+import re
 import sys
 from pathlib import Path
 
@@ -36,3 +39,17 @@ def docs_of(spark):
         return spark.createDataFrame(rows, "path string, mtime long, content binary")
 
     return make
+
+
+@pytest.fixture
+def shuffled():
+    """Columns that enter each shuffle of a plan."""
+
+    def columns(df):
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            df.explain("formatted")
+        found = re.findall(r"\(\d+\) Exchange\s+Input \[\d+\]: \[(.*?)\]", out.getvalue())
+        return [{c.split("#")[0] for c in line.split(", ")} for line in found]
+
+    return columns

@@ -32,9 +32,10 @@ DISTRIBUTIONS = {
 
 def nfc(text: Column) -> Column:
     """Unicode normalisation form C, by the ICU library that ships with Spark."""
-    return F.java_method(
+    composed = F.java_method(
         F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(False)
     )
+    return F.when(text.isNotNull(), composed)
 
 
 def alphabet_letters(alphabet: str) -> list[str]:

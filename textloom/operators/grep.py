@@ -61,6 +61,7 @@ def grep(
         found = test(candidates).drop("content")
     else:
         found = candidates.join(test(docs).select("path"), "path", "left_semi")
+        found = found.select(*candidates.columns)
     if doctype is not None:
         found = found.withColumn("doctype", F.lit(parse_doctype(doctype)))
     if comment is not None:

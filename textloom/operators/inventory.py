@@ -52,7 +52,7 @@ def status(index: DataFrame, docs: DataFrame) -> DataFrame:
 
 def missing(index: DataFrame, docs: DataFrame) -> DataFrame:
     """Index entries without a document."""
-    return index.join(docs.select("path"), "path", "left_anti")
+    return index.join(docs.select("path"), "path", "left_anti").select(*index.columns)
 
 
 def untracked(index: DataFrame, docs: DataFrame) -> DataFrame:
@@ -74,7 +74,7 @@ def counts(index: DataFrame, docs: DataFrame) -> DataFrame:
 
 def prune(index: DataFrame, docs: DataFrame) -> DataFrame:
     """The index without the entries whose document is missing."""
-    return index.join(docs.select("path"), "path", "left_semi")
+    return index.join(docs.select("path"), "path", "left_semi").select(*index.columns)
 
 
 def violations(index: DataFrame, docs: DataFrame, mode: str = "strict") -> DataFrame:

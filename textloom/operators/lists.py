@@ -72,5 +72,7 @@ def restrict_documents(
     listed = index.select("path").distinct()
     unlisted = docs.select("path").join(listed, "path", "left_anti")
     if unlisted.limit(broadcast_paths + 1).count() <= broadcast_paths:
-        return docs.join(F.broadcast(unlisted), "path", "left_anti")
-    return docs.join(listed, "path", "left_semi")
+        kept = docs.join(F.broadcast(unlisted), "path", "left_anti")
+    else:
+        kept = docs.join(listed, "path", "left_semi")
+    return kept.select(*docs.columns)

@@ -352,7 +352,7 @@ SELECT * FROM (
          f.size = i.size AS size_ok, coalesce(i.path, f.path) AS path
   FROM idx i FULL JOIN files f ON f.path = i.path) WHERE status IS NOT NULL""",
     "inventory_missing": f"""WITH {_SIDES}
-SELECT path, remote, hash, ppn, doctype, lang_code, size, mtime FROM idx
+SELECT {_ENTRY} FROM idx
 WHERE path NOT IN (SELECT path FROM files)""",
     "inventory_untracked": f"""WITH {_SIDES}
 SELECT path FROM files WHERE path NOT IN (SELECT path FROM idx) ORDER BY path""",
@@ -360,7 +360,7 @@ SELECT path FROM files WHERE path NOT IN (SELECT path FROM idx) ORDER BY path"""
 SELECT (SELECT count(*) FROM idx WHERE path NOT IN (SELECT path FROM files)) AS missing,
        (SELECT count(*) FROM files WHERE path NOT IN (SELECT path FROM idx)) AS untracked""",
     "index_prune": f"""WITH {_SIDES}
-SELECT path, remote, hash, ppn, doctype, lang_code, size, mtime FROM idx
+SELECT {_ENTRY} FROM idx
 WHERE path IN (SELECT path FROM files)""",
     "verify_permissive": _violations(0),
     "verify_strict": _violations(1),
