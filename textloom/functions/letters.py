@@ -43,17 +43,38 @@ def alphabet_letters(alphabet: str) -> list[str]:
     return sorted(set(unicodedata.normalize("NFC", alphabet.lower())))
 
 
-def letter_count(normalised: Column, letter: Column) -> Column:
-    """Occurrences of one letter in a normalised text, from byte lengths."""
-    rest = F.replace(normalised, letter, F.lit(""))
-    missing = F.octet_length(normalised) - F.octet_length(rest)
-    return (missing / F.octet_length(letter)).cast("long")
+def letter_counts(normalised: Column, alphabet: str) -> Column:
+    """Array of the occurrences of each letter, in the order of the alphabet.
 
+    Letter after letter is taken out of the text and counted by the bytes that
+    are gone. Frequent letters go first, so the text that is left to read soon
+    is short.
+    """
+    frequency = dict(zip(GERMAN_ALPHABET, GERMAN_FREQUENCIES, strict=True))
+    order = sorted(alphabet, key=lambda c: -frequency.get(c, 0.0))
 
-def letter_counts(normalised: Column, alphabet: str) -> Column:
-    """Array of the occurrences of each letter, in the order of the alphabet."""
-    letters = F.array(*[F.lit(c) for c in alphabet])
-    return F.transform(letters, lambda c: letter_count(normalised, c))
+    def take(state: Column, letter: Column) -> Column:
+        return let(
+            F.replace(state["rest"], letter, F.lit("")),
+            lambda rest: F.struct(
+                rest.alias("rest"),
+                F.array_append(
+                    state["counts"],
+                    (
+                        (F.octet_length(state["rest"]) - F.octet_length(rest))
+                        / F.octet_length(letter)
+                    ).cast("long"),
+                ).alias("counts"),
+            ),
+        )
+
+    start = F.struct(
+        normalised.alias("rest"), F.array().cast("array<bigint>").alias("counts")
+    )
+    return let(
+        F.aggregate(F.array(*[F.lit(c) for c in order]), start, take, lambda state: state["counts"]),
+        lambda counts: F.array(*[F.get(counts, F.lit(order.index(c))) for c in alphabet]),
+    )
 
 
 def total(counts: Column) -> Column:

@@ -10,16 +10,17 @@ from pyspark.sql import functions as F
 from textloom.functions.arrays import let
 
 # Scripts in which every character is a segment of its own.
-_SINGLE = (
-    r"\p{IsIdeographic}\p{IsHiragana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
-)
+_SINGLE = r"\p{IsIdeographic}\p{IsHiragana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+# Looking up a script is slow. So common letters come first as ranges, and the
+# cheap test for alphabetic characters guards the others.
+_COMMON = r"A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{2AF}\x{400}-\x{481}\x{48A}-\x{52F}"
 _MARK = r"[\p{M}\p{Cf}&&[^\x{200B}]]"
-_LETTER = rf"[A-Za-z[\p{{IsAlphabetic}}&&[^\p{{M}}\p{{IsKatakana}}{_SINGLE}]]]"
-_LETTERS = rf"[A-Za-z[\p{{IsAlphabetic}}\p{{M}}\p{{Cf}}&&[^\x{{200B}}\p{{IsKatakana}}{_SINGLE}]]]"
+_LETTER = rf"[{_COMMON}[\p{{IsAlphabetic}}&&[^\p{{M}}\p{{IsKatakana}}{_SINGLE}]]]"
+_LETTERS = rf"[{_COMMON}[[\p{{IsAlphabetic}}\p{{M}}\p{{Cf}}]&&[^\x{{200B}}\p{{IsKatakana}}{_SINGLE}]]]"
 _DIGIT = r"\p{Nd}"
 _DIGITS = r"[\p{Nd}\p{M}\p{Cf}&&[^\x{200B}]]"
-_KANA = r"[\p{IsKatakana}&&\p{IsAlphabetic}]"
-_KANAS = r"[[\p{IsKatakana}&&\p{IsAlphabetic}]\p{M}\p{Cf}&&[^\x{200B}]]"
+_KANA = r"[\p{IsAlphabetic}&&\p{IsKatakana}]"
+_KANAS = r"[[\p{IsAlphabetic}&&\p{IsKatakana}]\p{M}\p{Cf}&&[^\x{200B}]]"
 _JOIN = r"\p{Pc}"
 _JOINS = r"[\p{Pc}\p{M}\p{Cf}&&[^\x{200B}]]"
 # The MidLetter, MidNum and MidNumLet characters of UAX #29.
@@ -38,9 +39,11 @@ _UNIT = rf"(?:{_RUN}|{_KANA}{_KANAS}*+)"
 # Every quantifier is possessive: a group loop then runs without recursion, so
 # a "word" of a million digits and commas does not exhaust the stack.
 WORD = (
-    rf"{_UNIT}(?:{_JOIN}{_JOINS}*+{_UNIT}?+)*+"
+    # Most words: ASCII letters that nothing after them can prolong.
+    r"[A-Za-z]++(?!['.:]?+[0-9A-Za-z_\x{80}-\x{10FFFF}])"
+    rf"|{_UNIT}(?:{_JOIN}{_JOINS}*+{_UNIT}?+)*+"
     rf"|(?:{_JOIN}{_JOINS}*+{_UNIT}?+)++"
-    rf"|[{_SINGLE}&&\p{{IsAlphabetic}}]{_MARK}*+"
+    rf"|[\p{{IsAlphabetic}}&&[{_SINGLE}]]{_MARK}*+"
 )
 
 # The letter categories a token filter may ask for.
