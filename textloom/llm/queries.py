@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import simhash
+from textloom.llm import pieces, records, simhash
+from textloom.llm.ship import shared_folder
+
+
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -20,8 +27,32 @@ def op1_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op6_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    return piece_digests(_table(spark, sf, "documents"))
+
+
+def piece_digests(docs: DataFrame) -> DataFrame:
+    coded = pieces.encode_decode(docs, _tokenizer("piece_bpe_32k.model"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op7_records(spark: SparkSession, sf: str) -> DataFrame:
+    folder = shared_folder(spark, "token-records")
+    index = records.write_records(_table(spark, sf, "documents"), folder, _tokenizer("word_bpe_49k.json"), end_id=2)
+    return records.read_records(index, folder).select(
+        F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op6_sentencepiece": op6_sentencepiece,
+    "op7_records": op7_records,
 }
 
 ORACLE: dict[str, str] = {}

@@ -1,8 +1,9 @@
-"""The library's own modules for the Python workers of a session."""
+"""What tasks of a session share: the library's own modules and a folder."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -26,3 +27,16 @@ def ship(spark: SparkSession) -> None:
             out.write(path, path.relative_to(package.parent))
     sc.addPyFile(str(archive))
     _SHIPPED.add(sc.applicationId)
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the place that the cluster names in ``spark.checkpoint.dir``.
+
+    Only a local session without that setting falls back to a temporary folder.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
+        base = tempfile.mkdtemp(prefix="textloom-shared-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
