@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import pieces, records, simhash
+from textloom.llm import mixing, pieces, records, simhash
 from textloom.llm.ship import shared_folder
 
 
@@ -49,10 +49,15 @@ def op7_records(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf, "documents"))[0]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_records": op7_records,
+    "op8_mixing": op8_mixing,
 }
 
 ORACLE: dict[str, str] = {}
