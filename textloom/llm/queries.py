@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import mixing, pieces, records, simhash
+from textloom.llm import mixing, pieces, records, simhash, toxicity
 from textloom.llm.ship import shared_folder
 
 
@@ -53,11 +53,18 @@ def op8_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(_table(spark, sf, "documents"))[0]
 
 
+def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    model = toxicity.fit_on(docs, _table(spark, sf, "labels"))
+    return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_records": op7_records,
     "op8_mixing": op8_mixing,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
