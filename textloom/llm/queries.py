@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import mixing, pieces, records, simhash, toxicity
+from textloom.llm import mixing, pieces, records, secrets, simhash, toxicity
 from textloom.llm.ship import shared_folder
 
 
@@ -27,6 +27,28 @@ def op1_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op3_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf, "documents"))
+    order = F.array(*map(F.lit, secrets.KINDS))
+
+    def written(spans: Column) -> Column:
+        ranked = F.transform(
+            spans, lambda x: F.struct(x["start"], F.array_position(order, x["kind"]), x["end"], x["kind"])
+        )
+        parts = F.transform(F.array_sort(ranked), lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"]))
+        return F.array_join(parts, ",")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(number, ("assign", "access", "hex")),
+        F.sha2(written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        written(F.concat("base", "linked")).alias("spans"),
+    )
+
+
 def op6_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return piece_digests(_table(spark, sf, "documents"))
 
@@ -61,6 +83,7 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op3_secrets": op3_secrets,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_records": op7_records,
     "op8_mixing": op8_mixing,
