@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import mixing, pieces, records, secrets, simhash, toxicity
+from textloom.llm import html, mixing, pieces, records, secrets, simhash, toxicity
 from textloom.llm.ship import shared_folder
 
 
@@ -49,6 +49,12 @@ def op3_secrets(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op5_html(spark: SparkSession, sf: str) -> DataFrame:
+    pages = _table(spark, sf, "pages")
+    found = pages.select("page_id", "url", F.array_join(html.blocks(pages), "\n").alias("text"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return piece_digests(_table(spark, sf, "documents"))
 
@@ -84,6 +90,7 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_secrets": op3_secrets,
+    "op5_html": op5_html,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_records": op7_records,
     "op8_mixing": op8_mixing,
