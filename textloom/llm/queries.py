@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import html, mixing, pieces, records, secrets, simhash, toxicity
+from textloom.llm import html, licenses, mixing, pieces, records, secrets, simhash, topk, toxicity, vectors
 from textloom.llm.ship import shared_folder
 
 
@@ -27,6 +27,10 @@ def op1_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op2_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf, "documents"))
+
+
 def op3_secrets(spark: SparkSession, sf: str) -> DataFrame:
     found = secrets.scan(_table(spark, sf, "documents"))
     order = F.array(*map(F.lit, secrets.KINDS))
@@ -49,6 +53,10 @@ def op3_secrets(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op4_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return vectors.near_vectors(_table(spark, sf, "embeddings"))
+
+
 def op5_html(spark: SparkSession, sf: str) -> DataFrame:
     pages = _table(spark, sf, "pages")
     found = pages.select("page_id", "url", F.array_join(html.blocks(pages), "\n").alias("text"))
@@ -81,6 +89,12 @@ def op8_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(_table(spark, sf, "documents"))[0]
 
 
+def op9_topk(spark: SparkSession, sf: str) -> DataFrame:
+    table = _table(spark, sf, "embeddings")
+    codes = table.select("vec_id", topk.sign_code(F.col("embedding")).alias("code"))
+    return topk.top_k(codes, codes.where("vec_id % 20 = 0"), k=10, id_col="vec_id")
+
+
 def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents")
     model = toxicity.fit_on(docs, _table(spark, sf, "labels"))
@@ -89,12 +103,26 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_licenses": op2_licenses,
     "op3_secrets": op3_secrets,
+    "op4_vectors": op4_vectors,
     "op5_html": op5_html,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_records": op7_records,
     "op8_mixing": op8_mixing,
+    "op9_topk": op9_topk,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_topk": """
+WITH codes AS (
+  SELECT vec_id, CAST(array_to_string(list_transform(embedding, lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END), '') AS BIT) AS code
+  FROM embeddings WHERE len(embedding) > 0 AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND NOT isnan(x)))),
+found AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS id, CAST(bit_count(xor(q.code, c.code)) AS INTEGER) AS distance
+  FROM (SELECT * FROM codes WHERE vec_id % 20 = 0) q, codes c)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, id, distance
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM found)
+WHERE rank <= 10""",
+}
