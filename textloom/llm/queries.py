@@ -11,7 +11,7 @@ from textloom.llm import html, licenses, mixing, pieces, records, secrets, simha
 from textloom.llm.ship import shared_folder
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer_file(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -64,11 +64,10 @@ def op5_html(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op6_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
-    return piece_digests(_table(spark, sf, "documents"))
+    return digests(pieces.encode_decode(_table(spark, sf, "documents"), tokenizer_file("piece_bpe_32k.model")))
 
 
-def piece_digests(docs: DataFrame) -> DataFrame:
-    coded = pieces.encode_decode(docs, _tokenizer("piece_bpe_32k.model"))
+def digests(coded: DataFrame) -> DataFrame:
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -79,7 +78,7 @@ def piece_digests(docs: DataFrame) -> DataFrame:
 
 def op7_records(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_folder(spark, "token-records")
-    index = records.write_records(_table(spark, sf, "documents"), folder, _tokenizer("word_bpe_49k.json"), end_id=2)
+    index = records.write_records(_table(spark, sf, "documents"), folder, tokenizer_file("word_bpe_49k.json"), end_id=2)
     return records.read_records(index, folder).select(
         F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )
