@@ -1,0 +1,132 @@
+"""Embedding near-dedup and top-k search against all pairs."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from textloom.llm import queries, topk, vectors
+from textloom.llm.components import local_roots
+
+
+def planted(n, size, seed):
+    """Random vectors, near and exact copies among them."""
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((n, size))
+    for i in range(0, n, 3):
+        x[i] = x[(i * 7 + 1) % n] + rng.standard_normal(size) * rng.choice([0, 0.02, 0.1, 0.18, 0.25])
+    return x.astype(np.float32)
+
+
+@pytest.mark.parametrize("size", [4, 48])
+def test_links_against_all_pairs(spark, monkeypatch, size):
+    monkeypatch.setattr(vectors, "BLOCK", 60)
+    x = planted(400, size, size)
+    label = np.where(np.arange(len(x)) % 3 == 0, 1, 2)
+    rows = [(i, v.tolist(), int(y), "clash") for i, (v, y) in enumerate(zip(x, label, strict=True))]
+    rows += [(1, x[1].tolist(), int(label[1]), "again"), (None, x[5].tolist(), int(label[5]), "unnamed")]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, digest string")
+    found = vectors.near_vectors(table).collect()
+    assert len(found) == len(rows)
+    unit = np.array([r[1] for r in rows], float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    labels = np.array([r[2] for r in rows])
+    a, b = np.nonzero((unit @ unit.T >= 0.98) & (labels[:, None] == labels))
+    a, b = a[a != b], b[a != b]
+    links, root = np.bincount(a, minlength=len(rows)), local_roots(len(rows), a, b)
+    least = {}
+    for (i, *_), r in zip(rows, root, strict=True):
+        if i is not None:
+            least[r] = min(least.get(r, i), i)
+    want = [(i, int(n), least[r]) for (i, *_), n, r in zip(rows, links, root, strict=True)]
+    got = [(r.vec_id, r.n_links, r.component_id) for r in found]
+    agree = sum(g in want for g in got)
+    assert agree >= 0.98 * len(rows)
+    assert sum(n for _, n, _ in got) >= 0.9 * links.sum()
+    assert all(r.kept == (r.vec_id == r.component_id) for r in found)
+
+
+def test_calibration():
+    """Pairs at the threshold reach the count as often as promised."""
+    width, need = vectors.needed_collisions(0.98)
+    rng = np.random.default_rng(1)
+    u = rng.standard_normal((3000, 32))
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    w = rng.standard_normal((3000, 32))
+    w -= (w * u).sum(1, keepdims=True) * u
+    w /= np.linalg.norm(w, axis=1, keepdims=True)
+    v = 0.98 * u + np.sqrt(1 - 0.98**2) * w
+    seen = np.abs((u - v) @ vectors.directions(32)) <= width
+    assert (seen.sum(1) >= need).mean() > 0.98
+    a, b = rng.standard_normal((2, 30, 8))
+    assert (vectors.collisions(a, b, 0.3) == (np.abs(a[:, None] - b[None]) <= 0.3).sum(2)).all()
+
+
+def test_odd_vectors_link_with_nothing(spark):
+    nan, inf = float("nan"), float("inf")
+    odd = [None, [], [0.0, 0.0], [1.0, None], [nan, 1.0], [inf, 1.0]]
+    rows = [(i, v, 1) for i, v in enumerate(odd)] * 2 + [(50, [1.0, 0.0], None)] * 2
+    rows += [(60, [1.0, 0.0], 1), (61, [1.0, 0.0, 0.0], 1), (62, [2.0, 0.0], 1), (63, [3e38, 0.0], 1), (64, [1e-45, 0.0], 1)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    found = {r.vec_id: r for r in vectors.near_vectors(table).collect()}
+    assert all(found[i].n_links == 0 and found[i].kept for i in [*range(6), 50, 61])
+    assert [(found[i].n_links, found[i].component_id, found[i].kept) for i in (60, 62, 63, 64)] == [
+        (3, 60, True),
+        (3, 60, False),
+        (3, 60, False),
+        (3, 60, False),
+    ]
+    assert vectors.near_vectors(table.limit(0)).collect() == []
+
+
+def test_near_copies_leave_no_pairs(spark):
+    """A thousand near copies: as many rows leave a task, not their pairs."""
+    rng = np.random.default_rng(3)
+    x = np.ones(16) + rng.standard_normal((1200, 16)) * 0.02
+    table = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    found = vectors.near_vectors(table).collect()
+    assert {r.component_id for r in found} == {0} and sum(r.kept for r in found) == 1
+    assert {r.n_links for r in found} == {1199}
+
+
+@pytest.mark.parametrize("size, k", [(7, 3), (64, 10), (130, 5)])
+def test_nearest_against_all(spark, monkeypatch, size, k):
+    monkeypatch.setattr(topk, "CODES", 70)
+    monkeypatch.setattr(topk, "QUERIES", 9)
+    rng = np.random.default_rng(size)
+    bits = rng.integers(0, 2, (230, size))
+    bits[100:160] = bits[7] ^ (rng.random((60, size)) < 0.05)
+    rows = [(i, "".join(map(str, b))) for i, b in enumerate(bits.tolist())]
+    codes = [*rows, rows[3], (None, rows[4][1]), (999, None), (998, ""), (997, "01")]
+    table = spark.createDataFrame([(*r, 0) for r in codes], "id long, code string, distance int")
+    asked = table.where("id % 10 = 0").union(table.where("id = 20")).union(table.where("id = 999"))
+    found = {}
+    for r in topk.top_k(table, asked, k).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.id, r.distance))
+    assert set(found) == {i for i in range(0, 230, 10)}
+    known = [(i, c) for i, c in codes if c and len(c) == size]
+    for query, got in found.items():
+        own = rows[query][1]
+        order = sorted((sum(x != y for x, y in zip(own, c, strict=True)), i is None, i or 0, i) for i, c in known)
+        assert sorted(got) == [(n, i, d) for n, (d, _, _, i) in enumerate(order[:k], 1)]
+
+
+def test_fewer_codes_than_asked(spark):
+    table = spark.createDataFrame([(1, "0101"), (2, "0100")], "id long, code string")
+    assert topk.top_k(table, table, 5).count() == 4
+    assert topk.top_k(table.limit(0), table, 5).collect() == []
+    assert topk.top_k(table, table.limit(0), 5).collect() == []
+
+
+def test_sign_codes(spark):
+    rows = [([1.0, -1.0, 0.0],), ([1.0, None],), ([float("nan")],), (None,)]
+    table = spark.createDataFrame(rows, "x array<float>")
+    assert [r[0] for r in table.select(topk.sign_code(F.col("x"))).collect()] == ["100", None, None, None]
+
+
+def test_queries_have_their_columns(spark, tmp_path):
+    rows = [(i, [float(i % 5), 1.0, -2.0], i % 2) for i in range(41)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert queries.op4_vectors(spark, str(tmp_path)).columns == ["vec_id", "n_links", "component_id", "kept"]
+    found = queries.op9_topk(spark, str(tmp_path))
+    assert found.columns == ["query_id", "rank", "vec_id", "distance"] or found.columns == ["query_id", "rank", "id", "distance"]
+    assert found.count() == 30

@@ -170,7 +170,8 @@ def main_blocks(page: str | None) -> list[str]:
     Each block gives one point, one for each comma and up to three for its
     length to the element that holds it, half to the one above, then a sixth,
     and so on. An element's points are discounted by the share of its text that
-    lies in links. The best element, raised to the article around it, is kept
+    lies in links. The best element is taken, or the best one marked as an article
+    if it has a fifth of its score; raised to the article around it, it is kept
     with its siblings that score a fifth as much and with headings beside it.
     """
     tree = _Tree(page or "")
@@ -202,7 +203,8 @@ def main_blocks(page: str | None) -> list[str]:
     if not tree.blocks:
         return []
     best = max(range(n), key=lambda i: (score[i], -i))
-    at = best
+    whole = max((i for i in range(n) if tree.tag[i] in WHOLE), key=lambda i: (score[i], -i), default=best)
+    best = at = whole if score[whole] >= score[best] / 5 else best
     while at:
         if tree.tag[at] in WHOLE:
             best = at

@@ -211,7 +211,9 @@ def _histograms(nodes: DataFrame, subs: list[list[int]]) -> list[np.ndarray]:
 def _masks(width: int, radius: int) -> list[np.ndarray]:
     """For each distance up to ``radius``, the masks of ``width`` bits that have so many ones."""
     ones = [1 << i for i in range(width)]
-    return [np.array([sum(c) for c in combinations(ones, d)], np.int64) for d in range(min(radius, width) + 1)]
+    return [
+        np.array([sum(c) for c in combinations(ones, d)], np.uint64).view(np.int64) for d in range(min(radius, width) + 1)
+    ]
 
 
 def _within(counts: np.ndarray, distance: int) -> np.ndarray:
