@@ -116,3 +116,9 @@ def test_last_record_wins(spark):
 def test_similarity(spark, a, b, ignore, expected):
     assert value(spark, rec.similarity(F.lit(a), F.lit(b), ignore)) == expected
     assert value(spark, rec.similar(F.lit(a), F.lit(b), 0.75, ignore)) == (expected >= 0.75)
+
+
+def test_one_row_per_identifier(spark, records):
+    twice = records.union(records)
+    found = [r["ppn"] for r in authority.authorities(twice, "u/").collect()]
+    assert len(found) == len(set(found)) > 0

@@ -104,3 +104,37 @@ def test_json(spark, tmp_path):
     writers.write_json(summary_json(index), str(tmp_path / "summary"))
     text = "".join(p.read_text() for p in (tmp_path / "summary").glob("part-*"))
     assert text.strip() == '{"toc":{"docs":1,"size":3,"duplicates":0}}'
+
+
+def test_write_back_where_it_was_read(spark, tmp_path):
+    path = str(tmp_path / "index.parquet")
+    writers.write_table(spark.range(10).selectExpr("id AS size", "CAST(id AS STRING) AS path"), path)
+    writers.write_table(readers.read_index(spark, path).where("size > 6"), path)
+    assert rows(readers.read_index(spark, path).select("size")) == [(7,), (8,), (9,)]
+    assert [p.name for p in tmp_path.iterdir()] == ["index.parquet"]
+
+
+def test_failing_write_leaves_the_old_output(spark, frame, tmp_path):
+    path = str(tmp_path / "index.parquet")
+    writers.write_table(frame, path)
+    with pytest.raises(Exception, match="broken"):
+        writers.write_table(frame.selectExpr("ppn", "CAST(raise_error('broken') AS BIGINT) AS size"), path)
+    assert rows(readers.read_index(spark, path)) == rows(frame)
+    assert [p.name for p in tmp_path.iterdir()] == ["index.parquet"]
+
+
+@pytest.mark.parametrize("name", ["toc/_2.txt", "toc/.3.txt", "_raw/4.txt", "toc/.x/y/5.txt"])
+def test_hidden_documents_are_refused_by_name(spark, tmp_path, name):
+    for one in ("toc/1.txt", name):
+        file = tmp_path / "data" / one
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text("text")
+    with pytest.raises(ValueError, match=name.rsplit("/", 1)[-1]):
+        readers.read_corpus(spark, str(tmp_path))
+
+
+def test_paths_without_a_scheme(spark, tmp_path):
+    (tmp_path / "data/toc").mkdir(parents=True)
+    (tmp_path / "data/toc/1.txt").write_text("text")
+    for base in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}/"):
+        assert [r["path"] for r in readers.read_corpus(spark, base).collect()] == ["data/toc/1.txt"]

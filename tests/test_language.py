@@ -42,11 +42,10 @@ def brute_force():
     return out
 
 
-@pytest.mark.parametrize("bound", [0, 500_000])
-def test_detect(docs, bound):
+def test_detect(docs):
     model = LanguageModel.fit(docs)
     assert model.languages == ("eng", "ger")
-    got = {r["path"]: (r["lang_code"], r["lang_score"]) for r in model.detect(docs, broadcast_values=bound).collect()}
+    got = {r["path"]: (r["lang_code"], r["lang_score"]) for r in model.detect(docs).collect()}
     want = brute_force()
     assert got.keys() == want.keys()
     for path, (code, score) in want.items():
@@ -54,6 +53,29 @@ def test_detect(docs, bound):
         assert got[path][1] == (pytest.approx(score) if code else None)
 
 
+def test_stored_model(spark, docs, tmp_path):
+    model = LanguageModel.fit(docs)
+    model.save(str(tmp_path / "model"))
+    loaded = LanguageModel.load(spark, str(tmp_path / "model"))
+    assert (loaded.languages, loaded.unseen) == (model.languages, model.unseen)
+    key = [sorted(map(str, m.detect(docs).collect())) for m in (model, loaded)]
+    assert key[0] == key[1]
+
+
+def test_bounds_of_a_fit(docs):
+    assert LanguageModel.fit(docs, most=5).weights.count() == 5
+    some = docs.union(docs).union(docs)
+    assert LanguageModel.fit(some, documents=8).weights.count() <= LanguageModel.fit(docs).weights.count()
+
+
+def test_equal_paths_of_two_remotes(spark):
+    texts = [("a", "p", "eng", "the way that the"), ("b", "p", "ger", "und nicht die und")]
+    rows = [(r, p, c, bytearray(t.encode())) for r, p, c, t in texts]
+    docs = spark.createDataFrame(rows, "remote string, path string, lang_code string, content binary")
+    found = {r["remote"]: r["lang_code"] for r in LanguageModel.fit(docs).detect(docs).collect()}
+    assert found == {"a": "eng", "b": "ger"}
+
+
 def test_detect_shuffles_no_text(docs):
     plan = LanguageModel.fit(docs).detect(docs)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
@@ -63,7 +85,7 @@ def test_detect_shuffles_no_text(docs):
 
 def test_named_languages(docs):
     model = LanguageModel.fit(docs, languages=["ger", "eng", "fre"])
-    assert model.languages == ("ger", "eng", "fre")
+    assert model.languages == ("ger", "eng")  # no French document
     assert model.detect(docs).where("path = '1'").first()["lang_code"] == "ger"
 
 

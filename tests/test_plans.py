@@ -13,7 +13,10 @@ from textloom.operators.references import references
 from textloom.operators.summary import summary
 from textloom.operators.vocabulary import vocabulary
 from textloom.plans import corpus as c
-from textloom.session import durable, spread
+from textloom.operators.grep import grep
+from textloom.operators.lists import restrict_documents
+from textloom.session import durable
+from textloom.sources.writers import write_bucketed
 
 
 @pytest.fixture
@@ -25,6 +28,7 @@ def docs(docs_of):
 def test_maps_do_not_shuffle(docs, shuffled):
     assert shuffled(document_stats(docs, "r")) == []
     assert shuffled(letter_table(docs)) == []
+    assert shuffled(references(docs)) == []
     assert shuffled(inventory.file_facts(docs)) == []
 
 
@@ -35,7 +39,6 @@ def test_text_is_not_shuffled(docs, shuffled):
         index,
         model.detect(docs),
         vocabulary(docs, 3, ordered=False),
-        references(docs),
         inventory.status(index, docs),
         inventory.violations(index, docs),
         summary(index),
@@ -69,11 +72,36 @@ def test_predicates_and_columns_reach_the_scan(spark, tmp_path):
     assert "ReadSchema: struct<doc_id:bigint,source:string>" in plan
 
 
-def test_spread_leaves_wide_scans(spark):
-    cores = spark.sparkContext.defaultParallelism
-    wide, narrow = spark.range(0, 100, 1, cores + 3), spark.range(0, 100, 1, 1)
-    assert spread(wide, "id") is wide
-    assert spread(narrow, "id").rdd.getNumPartitions() == cores
+@pytest.mark.parametrize("operator", [letter_table, lambda d, where: build_index(d, F.col("remote"), where=where)])
+def test_where_reaches_the_scan(spark, tmp_path, operator):
+    path = str(tmp_path / "docs")
+    spark.sql("SELECT 'a' AS remote, 'p' AS path, 1L AS mtime, binary('x') AS content").write.parquet(path)
+    plan = operator(spark.read.parquet(path), where="remote = 'a'")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(remote,a)" in plan
+
+
+def test_large_lists_leave_the_text_in_place(spark, docs, shuffled):
+    """Nothing is small enough to be sent around; documents lie in buckets of their key."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        listed = docs.select("path").withColumn("ppn", F.lit("1"))
+        write_bucketed(docs.withColumn("ppn", F.lit("1")), "bucketed_docs", 4)
+        stored = spark.table("bucketed_docs")
+        index = docs.select("path", "mtime")
+        plans = [
+            grep(index, "the", docs, where="mtime > 0"),
+            restrict_documents(stored, listed),
+            vocabulary(restrict_documents(stored, listed), 2, ordered=False),
+        ]
+        for plan in plans:
+            assert shuffled(plan)
+            for columns in shuffled(plan):
+                assert not columns & {"content", "text", "tokens", "kept"}
+        assert plans[1].count() == 2
+    finally:
+        spark.sql("DROP TABLE IF EXISTS bucketed_docs")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_durable_survives_without_its_source(spark, tmp_path):

@@ -94,3 +94,28 @@ def test_worklist(spark):
     assert sorted(tuple(r) for r in worklist(index, log).collect()) == [("r", "b"), ("s", "a"), ("s", "c")]
     assert sorted(tuple(r) for r in worklist(index, log, chosen).collect()) == [("s", "a"), ("s", "c")]
     assert worklist(index).count() == 4
+
+
+def test_latest_of_equal_stamps(spark):
+    rows = [("r", "p", "", "C", "", "ann", 5), ("r", "p", "", "I", "", "bob", 5), ("r", "p", "", "P", "", "zoe", 4)]
+    schema = "remote string, path string, hash string, rating string, comment string, username string, created_at long"
+    for order in (rows, rows[::-1]):
+        (last,) = latest_ratings(spark.createDataFrame(order, schema).coalesce(1)).collect()
+        assert (last["rating"], last["username"]) == ("I", "bob")
+
+
+def test_busy_users_and_missing_names(spark, shuffled):
+    events = [("p", "", "C", "", "busy", "s")] * 900 + [(None, "", "C", "", None, "s")] * 80 + [("q", "", "C", "", "rare", "s")] * 20
+    log = spark.createDataFrame([(*e, i) for i, e in enumerate(events)], f"{EVENT_SCHEMA}, event_id int")
+    users = spark.createDataFrame([("busy", "s"), ("rare", "t"), (None, "s")], "username string, secret string")
+    paths = spark.createDataFrame([("p",), (None,)], "path string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        judged = admit(log, users, paths)
+        keys = [c for c in shuffled(judged) if "event_id" in c]
+        assert keys and all("_salt" in c for c in keys)
+        assert sum("secret" in c for c in keys) == 1
+        counts = {(r["reason"] or "", r["count"]) for r in judged.groupBy("reason").count().collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert counts == {("", 900), ("unknown user", 80), ("wrong secret", 20)}

@@ -64,3 +64,21 @@ def test_unicode_case_and_digits(docs_of):
 def test_more_kinds(docs_of):
     got = references(docs_of({"p": "é doi:10.1/x"}), {"doi": r"doi:(10\.\S+)"}).collect()
     assert [tuple(r) for r in got] == [("p", "doi", "10.1/x", 3, 13)]
+
+
+def test_patterns_that_look_around(docs_of):
+    texts = {"p": "é doi:10.1/x 10.2/y", "q": "doi:10.3/z"}
+    got = references(docs_of(texts), {"doi": r"(?<=doi:)(10\.\S+)"}).collect()
+    assert sorted(tuple(r) for r in got) == [("p", "doi", "10.1/x", 7, 13), ("q", "doi", "10.3/z", 4, 10)]
+
+
+def test_equal_paths_keep_their_positions(spark):
+    rows = [("a", "p", bytearray(b"see ISSN 1111-2222")), ("b", "p", bytearray(b"ISSN 1111-2222 ISSN 3333-4444"))]
+    docs = spark.createDataFrame(rows + rows[:1], "remote string, path string, content binary")
+    got = sorted((r["remote"], r["start"], r["end"]) for r in references(docs).collect())
+    assert got == [("a", 4, 18), ("a", 4, 18), ("b", 0, 14), ("b", 15, 29)]
+
+
+def test_empty_matches_are_refused(docs_of):
+    with pytest.raises(Exception, match="matches the empty string"):
+        references(docs_of({"p": "abc"}), {"none": "(x*)"}).collect()

@@ -36,11 +36,12 @@ def test_ngrams(docs_of, n):
 
 
 @pytest.mark.parametrize("n", [1, 2, 3])
-@pytest.mark.parametrize("bound", [0, 100])
-def test_stopwords_both_ways(spark, docs_of, tmp_path, n, bound):
+@pytest.mark.parametrize("joined", [True, False])
+def test_stopwords_both_ways(spark, docs_of, tmp_path, n, joined):
     (tmp_path / "stop.txt").write_text("the\nit's\nDOG\nx\n\\w'\n")
     stop = read_stopwords(spark, str(tmp_path / "stop.txt"))
-    got = found(vocabulary(docs_of(TEXTS), n, stopwords=stop, literal_stopwords=bound))
+    listed = stop if joined else [r[0] for r in stop.collect()]
+    got = found(vocabulary(docs_of(TEXTS), n, stopwords=listed))
     assert got == brute_force(TEXTS, n, stop={"the", "it's"})
 
 
@@ -86,3 +87,19 @@ def test_same_text_many_times(spark):
         F.concat(F.lit("p"), "id").alias("path"), F.lit("aa bb aa bb").cast("binary").alias("content")
     )
     assert found(vocabulary(docs, 2)) == [("aa bb", 1000, 500), ("bb aa", 500, 500)]
+
+
+@pytest.mark.parametrize("joined", [True, False])
+def test_documents_of_one_path_share_no_window(spark, joined):
+    """Two remotes with the same path, and a document that is there twice."""
+    rows = [("a", "p", bytearray(b"one two three")), ("b", "p", bytearray(b"four five six"))] * 2
+    docs = spark.createDataFrame(rows, "remote string, path string, content binary")
+    listed = spark.createDataFrame([("none",)], "value string") if joined else ["none"]
+    got = found(vocabulary(docs, 2, stopwords=listed))
+    assert got == [(g, 2, 2) for g in ("five six", "four five", "one two", "two three")]
+
+
+def test_where_with_a_tail(docs_of):
+    docs = docs_of({"a": "x1 x1", "b": "x2", "c": "x3"})
+    got = found(vocabulary(docs, where="mtime >= (SELECT min(mtime) + 1 FROM df) ORDER BY path DESC LIMIT 1"))
+    assert got == [("x3", 1, 1)]

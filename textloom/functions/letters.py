@@ -31,11 +31,17 @@ DISTRIBUTIONS = {
 
 
 def nfc(text: Column) -> Column:
-    """Unicode normalisation form C, by the ICU library that ships with Spark."""
-    composed = F.java_method(
-        F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(False)
-    )
-    return F.when(text.isNotNull(), composed)
+    """Unicode normalisation form C, by the ICU library that ships with Spark.
+
+    Text whose characters all lie below U+0300 has that form already; only
+    other texts call the library. Null stays null.
+    """
+
+    def composed(t: Column) -> Column:
+        call = F.java_method(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), t, F.lit(False))
+        return F.when(t.rlike(r"[^\x{0}-\x{2FF}]"), call).otherwise(t)
+
+    return let(text, composed)
 
 
 def alphabet_letters(alphabet: str) -> list[str]:

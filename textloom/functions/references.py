@@ -24,33 +24,43 @@ PATTERNS: Mapping[str, str] = {
 }
 
 
+MATCH = "struct<type:string,value:string,start:bigint,end:bigint>"
+
+
 def any_reference(text: Column, patterns: Mapping[str, str] = PATTERNS) -> Column:
     """True if at least one pattern occurs."""
     return text.rlike("|".join(f"(?:{p})" for p in patterns.values()))
 
 
 def reference_matches(text: Column, kind: str, pattern: str) -> Column:
-    """Array of matches: kind, number, value, bytes of the match and of the gap before it.
+    """Array of matches: kind, value, first byte and the byte after the last.
 
-    Group 1 is taken from the matched string, which is short, so the text is
-    read twice: once for the matches and once for the pieces between them.
+    The text is read for the matches, for their values and for the pieces
+    between them, so a pattern may look around itself. Positions are summed up
+    within the row. A pattern that matches the empty string fails the job.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    return let(
-        found,
-        lambda hits: F.transform(
-            F.arrays_zip(
-                hits.alias("hit"),
-                F.slice(gaps, F.lit(1), F.size(hits)).alias("gap"),
-                F.sequence(F.lit(1), F.greatest(F.size(hits), F.lit(1))).alias("seq"),
-            ),
-            lambda m: F.struct(
-                F.lit(kind).alias("type"),
-                m["seq"].alias("seq"),
-                F.regexp_extract(m["hit"], pattern, 1).alias("value"),
-                F.octet_length(m["hit"]).alias("width"),
-                F.octet_length(m["gap"]).alias("gap"),
-            ),
-        ),
+    found = F.arrays_zip(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"),
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(1)).alias("value"),
     )
+    gaps = F.transform(F.split(text, pattern, -1), lambda g: F.octet_length(g))
+    empty = F.raise_error(F.lit(f"the pattern of {kind} matches the empty string")).cast("int")
+
+    def located(hits: Column, widths: Column) -> Column:
+        pieces = F.arrays_zip(hits.alias("m"), F.slice(widths, F.lit(1), F.size(hits)).alias("gap"))
+        start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{MATCH}>").alias("out"))
+
+        def step(state: Column, piece: Column) -> Column:
+            first = state["at"] + piece["gap"]
+            width = F.when(piece["m"]["hit"] == "", empty).otherwise(F.octet_length(piece["m"]["hit"]))
+            match = F.struct(
+                F.lit(kind).alias("type"),
+                piece["m"]["value"].alias("value"),
+                first.alias("start"),
+                (first + width).alias("end"),
+            )
+            return F.struct((first + width).alias("at"), F.array_append(state["out"], match.cast(MATCH)).alias("out"))
+
+        return F.aggregate(pieces, start, step, lambda state: state["out"])
+
+    return let(found, lambda hits: let(gaps, lambda widths: located(hits, widths)))

@@ -39,9 +39,10 @@ def authorities(
     record_filter: Callable[[Column], Column] = is_authority,
     order_by: str | None = None,
 ) -> DataFrame:
-    """Authority records: ppn, uri, label, notation, kind.
+    """Authority records: ppn, uri, label, notation, kind; one row per identifier.
 
-    With ``order_by`` the last record of an identifier wins; it is a running
+    With ``order_by`` the last record of an identifier wins. Without it, and
+    among records of equal order, the greatest kind does. It is a running
     maximum, so copies of one identifier never meet in one task unreduced.
     """
     fields = F.col("fields")
@@ -50,8 +51,7 @@ def authorities(
     found = records.where(record_filter(fields)).select(
         F.col("record_id").alias("ppn"), authority_kind(code).alias("kind"), order.alias("seq")
     )
-    if order_by:
-        found = found.groupBy("ppn").agg(F.max_by("kind", "seq").alias("kind"))
+    found = found.groupBy("ppn").agg(F.max(F.struct("seq", "kind"))["kind"].alias("kind"))
     return found.select("ppn", *authority_columns(F.col("ppn"), uri_base), "kind")
 
 

@@ -9,12 +9,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.operators.select import select_sql
 from textloom.sources.readers import read_index
 
 
 @dataclass(frozen=True)
 class Remote:
-    """A remote: its name, its index (a frame or a path) and an SQL predicate."""
+    """A remote: its name, its index (a frame or a path) and the SQL text after WHERE."""
 
     name: str
     index: DataFrame | str
@@ -26,7 +27,7 @@ def remote_index(remote: Remote, spark: SparkSession | None = None) -> DataFrame
     index = remote.index
     if isinstance(index, str):
         index = read_index(spark or SparkSession.active(), index)
-    return index.filter(F.expr(remote.predicate)) if remote.predicate else index
+    return select_sql(index, where=remote.predicate) if remote.predicate else index
 
 
 def compound_index(remotes: Sequence[Remote], spark: SparkSession | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.text import decode, parse_doctype
+from textloom.operators.keys import document_key
 from textloom.operators.lists import allow as allow_list
 from textloom.operators.lists import deny as deny_list
 from textloom.operators.select import select_sql
@@ -49,9 +50,10 @@ def grep(
 
     The text is the column ``content`` of ``docs``, or of the index itself when
     there are no ``docs``. With ``docs``, the pattern runs where the text is
-    read and only the matching paths are shuffled to the index.
+    read and only the keys of matches are shuffled to the index. ``where`` is
+    the SQL text after WHERE, over the table ``df``.
     """
-    candidates = index.filter(F.expr(where)) if where else index
+    candidates = select_sql(index, where=where) if where else index
     candidates = deny_list(allow_list(candidates, allow), deny)
 
     def test(df: DataFrame) -> DataFrame:
@@ -60,7 +62,8 @@ def grep(
     if docs is None:
         found = test(candidates).drop("content")
     else:
-        found = candidates.join(test(docs).select("path"), "path", "left_semi")
+        key = document_key(candidates, docs)
+        found = candidates.join(test(docs).select(key), key, "left_semi")
         found = found.select(*candidates.columns)
     if doctype is not None:
         found = found.withColumn("doctype", F.lit(parse_doctype(doctype)))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import letters, text, words
+from textloom.operators.keys import document_key
+from textloom.operators.select import select_sql
 
 INDEX_COLUMNS = (
     "remote", "path", "hash", "ppn", "doctype", "lang_code", "lang_score", "lfreq",
@@ -86,15 +88,21 @@ def letter_distances(docs: DataFrame) -> DataFrame:
 
 
 def build_index(
-    docs: DataFrame, remote: str | Column, languages: DataFrame | None = None
+    docs: DataFrame,
+    remote: str | Column,
+    languages: DataFrame | None = None,
+    where: str | None = None,
 ) -> DataFrame:
     """The index of a corpus.
 
-    ``languages`` has path, lang_code and lang_score, as ``LanguageModel.detect``
-    gives it; without it the language columns and ``lfreq`` are null. Only the
-    narrow statistics meet it in a join: the text stays in the scan.
+    ``languages`` has path, lang_code and lang_score, and the remote if it
+    covers several, as ``LanguageModel.detect`` gives it; without it the
+    language columns and ``lfreq`` are null. Only the narrow statistics meet it
+    in a join: the text stays in the scan. ``where`` is the SQL text after
+    WHERE, over the documents as table ``df``; it reaches the scan, which a
+    filter on the index can't.
     """
-    stats = document_stats(docs, remote)
+    stats = document_stats(select_sql(docs, where=where) if where else docs, remote)
     if languages is None:
         known = stats.select(
             "*",
@@ -102,5 +110,5 @@ def build_index(
             F.lit(None).cast("double").alias("lang_score"),
         )
     else:
-        known = stats.join(languages, "path", "left")
+        known = stats.join(languages, document_key(stats, languages), "left")
     return known.withColumn("lfreq", lfreq(F.col("lang_code"))).select(*INDEX_COLUMNS)

@@ -6,16 +6,19 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.functions.text import decode
+from textloom.functions.text import BIBLIOGRAPHIC_CODES, LANG_CODES, decode
+from textloom.operators.keys import document_key
 from textloom.session import durable
 
-# A row of the model is a bigram and one double per language. Up to this many
-# values it is a few megabytes and is sent to every executor.
-BROADCAST_VALUES = 500_000
-MAX_LANGUAGES = 1_000
+# A fit reads about so many labelled documents; a model has so many bigrams,
+# the most frequent. A row of it is a bigram and one double per language, so
+# with all languages it is some tens of megabytes and can be sent around.
+FIT_DOCUMENTS = 200_000
+BIGRAMS = 50_000
+LANGUAGES = tuple(sorted({BIBLIOGRAPHIC_CODES.get(c, c) for c in LANG_CODES.values()}))
 
 
 def bigrams(text: Column) -> Column:
@@ -36,91 +39,79 @@ class LanguageModel:
     weights: DataFrame
     languages: tuple[str, ...]
     unseen: tuple[float, ...]
-    size: int
 
     @staticmethod
     def fit(
-        docs: DataFrame, label: str = "lang_code", languages: Sequence[str] | None = None
+        docs: DataFrame,
+        label: str = "lang_code",
+        languages: Sequence[str] = LANGUAGES,
+        documents: int = FIT_DOCUMENTS,
+        most: int = BIGRAMS,
     ) -> LanguageModel:
         """Fit on documents with ``content`` and a label, with add-one smoothing.
 
-        Counts are combined before the shuffle, so the shuffle carries the
-        vocabulary and not the text. They are checkpointed, since the totals
-        and every later detection read them again.
+        Documents with another label, and languages without a bigram, are left
+        out. Of more labelled documents than ``documents``, those with the
+        smallest hashes of their text are read, about that many. Counts are
+        combined before the shuffle, so it carries the vocabulary and not the
+        text. They are checkpointed, since the totals and every later detection
+        read them again.
         """
-        labelled = docs.where(F.col(label).isNotNull())
-        if languages is None:
-            found = labelled.select(label).distinct().limit(MAX_LANGUAGES + 1).collect()
-            languages = sorted(row[0] for row in found)
-        if not 0 < len(languages) <= MAX_LANGUAGES:
-            raise ValueError(f"between 1 and {MAX_LANGUAGES} languages are supported")
         codes = tuple(languages)
+        labelled = docs.where(F.col(label).isin(*codes))
+        found = labelled.count()
+        if found > documents:
+            share = int(documents / found * (1 << 32))
+            labelled = labelled.where(F.pmod(F.xxhash64("content"), F.lit(1 << 32)) < share)
         pairs = _bigram_rows(labelled, label).where(F.col("gram").isNotNull())
-        per_language = pairs.groupBy("gram", label).agg(F.count("*").alias("n"))
-        counts = durable(
-            per_language.groupBy("gram").agg(
-                *[
-                    F.sum(F.when(F.col(label) == c, F.col("n")).otherwise(0)).alias(f"n{i}")
-                    for i, c in enumerate(codes)
-                ]
-            )
-        )
-        totals = counts.agg(
-            F.count("*").alias("size"),
-            *[F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}") for i in range(len(codes))],
-        ).first()
-        size = totals["size"]
-        whole = [float(totals[f"n{i}"] + size) for i in range(len(codes))]
-        weights = counts.select(
-            "gram",
-            *[F.log((F.col(f"n{i}") + 1) / F.lit(w)).alias(f"w{i}") for i, w in enumerate(whole)],
-        )
-        unseen = tuple(-math.log(w) if w else 0.0 for w in whole)
-        return LanguageModel(weights, codes, unseen, size)
+        per_language = durable(pairs.groupBy("gram", label).agg(F.count("*").alias("n")))
+        seen = {r[label] for r in per_language.select(label).distinct().collect()}  # some of the given codes
+        codes = tuple(c for c in codes if c in seen)
+        if not codes:
+            raise ValueError("no labelled document with two neighbouring letters")
+        of = [F.sum(F.when(F.col(label) == c, F.col("n")).otherwise(0)).alias(f"n{i}") for i, c in enumerate(codes)]
+        counted = per_language.groupBy("gram").agg(*of, F.sum("n").alias("n"))
+        counts = durable(counted.orderBy(F.desc("n"), "gram").limit(most).drop("n"))
+        totals = counts.agg(F.count("*").alias("size"), *[F.sum(f"n{i}").alias(f"n{i}") for i in range(len(codes))]).first()
+        whole = [float(totals[f"n{i}"] + totals["size"]) for i in range(len(codes))]
+        logs = [F.log((F.col(f"n{i}") + 1) / F.lit(w)).alias(f"w{i}") for i, w in enumerate(whole)]
+        return LanguageModel(counts.select("gram", *logs), codes, tuple(-math.log(w) for w in whole))
+
+    def save(self, path: str) -> None:
+        """Store the model: a row for each bigram, and one without for the unseen ones."""
+        other = ", ".join(f"CAST({u!r} AS DOUBLE) AS w{i}" for i, u in enumerate(self.unseen))
+        rest = self.weights.sparkSession.sql(f"SELECT CAST(NULL AS STRING) AS gram, {other}")
+        named = self.weights.union(rest).withColumnsRenamed({f"w{i}": c for i, c in enumerate(self.languages)})
+        named.coalesce(1).write.parquet(path)
 
-    def detect(
-        self, docs: DataFrame, key: str = "path", broadcast_values: int = BROADCAST_VALUES
-    ) -> DataFrame:
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> LanguageModel:
+        stored = spark.read.parquet(path)
+        codes = tuple(c for c in stored.columns if c != "gram")
+        rest = stored.where("gram IS NULL").first()
+        weights = stored.where("gram IS NOT NULL").select("gram", *[F.col(c).alias(f"w{i}") for i, c in enumerate(codes)])
+        return LanguageModel(weights, codes, tuple(rest[c] for c in codes))
+
+    def detect(self, docs: DataFrame) -> DataFrame:
         """Most probable language of each document and its probability.
 
-        Returns ``key, lang_code, lang_score``; both are null for a document
-        without two neighbouring letters.
+        Returns the document's key (remote and path, or the path alone),
+        ``lang_code`` and ``lang_score``; both are null for a document without
+        two neighbouring letters. All rows of a document are in one task, so
+        the partial sums leave one row per document for the shuffle.
         """
-        grams = _bigram_rows(docs, key)
+        key = document_key(docs)
+        grams = _bigram_rows(docs, *key)
         scores = [F.coalesce(F.col(f"w{i}"), F.lit(u)) for i, u in enumerate(self.unseen)]
-        if self.size * len(self.languages) <= broadcast_values:
-            # All rows of a document are in one task, so the partial sums
-            # leave one row per document for the shuffle.
-            joined = grams.join(F.broadcast(self.weights), "gram", "left")
-            sums = [F.sum(s) for s in scores]
-        else:
-            # Too large to send around: count per document first, then join on
-            # the bigram; adaptive execution splits frequent bigrams.
-            joined = (
-                grams.groupBy(key, "gram")
-                .agg(F.count("*").alias("times"))
-                .join(self.weights, "gram", "left")
-            )
-            sums = [F.sum(s * F.col("times")) for s in scores]
-        summed = joined.groupBy(key).agg(
-            F.count("gram").alias("grams"), *[s.alias(f"s{i}") for i, s in enumerate(sums)]
-        )
-        best = F.array_max(
-            F.array(
-                *[
-                    F.struct(F.col(f"s{i}").alias("score"), F.lit(c).alias("code"))
-                    for i, c in enumerate(self.languages)
-                ]
-            )
-        )
-        picked = summed.withColumn("best", best)
-        mass = sum(
-            (F.exp(F.col(f"s{i}") - F.col("best.score")) for i in range(len(self.languages))),
-            F.lit(0.0),
+        # The model's size is bounded where it is fitted.
+        joined = grams.join(F.broadcast(self.weights), "gram", "left")
+        summed = joined.groupBy(*key).agg(
+            F.count("gram").alias("grams"), *[F.sum(s).alias(f"s{i}") for i, s in enumerate(scores)]
         )
+        named = [F.struct(F.col(f"s{i}").alias("score"), F.lit(c).alias("code")) for i, c in enumerate(self.languages)]
+        picked = summed.withColumn("best", F.array_max(F.array(*named)))
+        mass = sum((F.exp(F.col(f"s{i}") - F.col("best.score")) for i in range(len(self.languages))), F.lit(0.0))
         known = F.col("grams") > 0
         return picked.select(
-            key,
-            F.when(known, F.col("best.code")).alias("lang_code"),
-            F.when(known, 1 / mass).alias("lang_score"),
+            *key, F.when(known, F.col("best.code")).alias("lang_code"), F.when(known, 1 / mass).alias("lang_score")
         )

@@ -9,8 +9,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of the paths that restrict_documents may broadcast.
-BROADCAST_PATHS = 100_000
+from textloom.operators.keys import document_key
 
 
 def key_names(keys: str | Sequence[str]) -> list[str]:
@@ -60,19 +59,12 @@ def deny(
     return _filtered(df, listed, "left_anti", left_on, right_on or left_on)
 
 
-def restrict_documents(
-    docs: DataFrame, index: DataFrame, broadcast_paths: int = BROADCAST_PATHS
-) -> DataFrame:
-    """Documents listed in the index, without a shuffle of their text where possible.
+def restrict_documents(docs: DataFrame, index: DataFrame) -> DataFrame:
+    """Documents listed in the index; a document with a null key is never listed.
 
-    Paths alone are compared first. When few documents are unlisted, which is
-    the rule, those paths are broadcast and removed by an anti join; else a
-    plain semi join does the same.
+    Spark broadcasts the keys of the index when their size is below its
+    threshold. Beyond it, documents of a table that is bucketed by the same key
+    (``write_bucketed``) stay where they are; only others are shuffled.
     """
-    listed = index.select("path").distinct()
-    unlisted = docs.select("path").join(listed, "path", "left_anti")
-    if unlisted.limit(broadcast_paths + 1).count() <= broadcast_paths:
-        kept = docs.join(F.broadcast(unlisted), "path", "left_anti")
-    else:
-        kept = docs.join(listed, "path", "left_semi")
-    return kept.select(*docs.columns)
+    key = document_key(docs, index)
+    return docs.join(index.select(key).distinct(), key, "left_semi").select(*docs.columns)

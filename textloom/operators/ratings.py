@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textloom.operators.keys import document_key
+
 # The ratings a document can get.
 RATINGS = ("C", "C-", "P", "P-", "P+", "I")
+# Parts that the events of one user or path are split into.
+SALTS = 16
 EVENT_SCHEMA = (
     "path string, hash string, rating string, comment string, username string, secret string"
 )
@@ -17,14 +21,20 @@ def admit(events: DataFrame, users: DataFrame, paths: DataFrame) -> DataFrame:
     """Add ``status`` and ``reason`` to rating events, batch or stream.
 
     ``users`` has username and secret, ``paths`` has path. The checks run in
-    order: user, secret, path, rating.
+    order: user, secret, path, rating. The secret leaves after the first join.
+    Events of a busy user or a popular path, and those without a name or a
+    path, are spread: a salt is part of the key, and the short lists of users
+    and paths are repeated for each of its values.
     """
-    known = users.groupBy("username").agg(F.max("secret").alias("expected"))
-    existing = paths.select("path").distinct().withColumn("exists", F.lit(True))
-    joined = events.join(known, "username", "left").join(existing, "path", "left")
+    known = _salted(users.groupBy("username").agg(F.max("secret").alias("expected")), "username")
+    existing = _salted(paths.select("path").distinct().withColumn("exists", F.lit(True)), "path")
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in events.columns]), F.lit(SALTS)).cast("int")
+    joined = events.withColumn("_salt", salt).join(known, ["username", "_salt"], "left")
+    trusted = joined.withColumn("_trusted", F.col("secret").eqNullSafe(F.col("expected"))).drop("secret")
+    joined = trusted.join(existing, ["path", "_salt"], "left")
     reason = (
         F.when(F.col("expected").isNull(), "unknown user")
-        .when(~F.col("secret").eqNullSafe(F.col("expected")), "wrong secret")
+        .when(~F.col("_trusted"), "wrong secret")
         .when(F.col("exists").isNull(), "unknown path")
         .when(~F.coalesce(F.col("rating").isin(*RATINGS), F.lit(False)), "invalid rating")
     )
@@ -36,17 +46,22 @@ def admit(events: DataFrame, users: DataFrame, paths: DataFrame) -> DataFrame:
     return (
         joined.withColumn("reason", reason)
         .withColumn("status", status)
-        .drop("expected", "exists", "secret")
+        .drop("expected", "exists", "_trusted", "_salt")
     )
 
 
+def _salted(df: DataFrame, key: str) -> DataFrame:
+    """Rows with a key, once for each salt."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    return df.where(F.col(key).isNotNull()).withColumn("_salt", salts)
+
+
 def latest_ratings(log: DataFrame) -> DataFrame:
-    """Last rating of every document."""
-    last = F.max_by(F.struct("hash", "rating", "comment", "username"), "created_at")
-    return (
-        log.groupBy("remote", "path")
-        .agg(last.alias("last"), F.max("created_at").alias("created_at"))
-        .select("remote", "path", "last.*", "created_at")
+    """Last rating of every document; of those at the same time, the greatest by user, rating, comment, hash."""
+    last = F.max(F.struct("created_at", "username", "rating", "comment", "hash"))
+    latest = log.groupBy("remote", "path").agg(last.alias("last"))
+    return latest.select(
+        "remote", "path", *[f"last.{c}" for c in ("hash", "rating", "comment", "username", "created_at")]
     )
 
 
@@ -55,12 +70,13 @@ def worklist(
 ) -> DataFrame:
     """Index rows still to be rated.
 
-    ``chosen`` restricts the rows by path. A rating counts for its own remote
-    only.
+    ``chosen`` restricts the rows by remote and path, or by path if it has no
+    remote. A rating counts for its own remote only.
     """
     rows = index
     if chosen is not None:
-        rows = rows.join(chosen.select("path").distinct(), "path", "left_semi")
+        key = document_key(index, chosen)
+        rows = rows.join(chosen.select(key).distinct(), key, "left_semi")
     if log is not None:
         rows = rows.join(log.select("remote", "path").distinct(), ["remote", "path"], "left_anti")
     return rows.select(*index.columns)

@@ -15,14 +15,14 @@ from textloom.operators.lists import key_names
 def select_sql(index: DataFrame, columns: str = "*", where: str | None = None) -> DataFrame:
     """``SELECT columns FROM df WHERE where`` over the index.
 
-    Both parts are free text, so the columns may hold aggregates and the
-    predicate may go on with GROUP BY, ORDER BY or LIMIT.
+    Both parts are free text, so the columns may hold aggregates, the predicate
+    may go on with GROUP BY, ORDER BY or LIMIT, and subqueries may read ``df``.
     """
     view = f"textloom_{uuid.uuid4().hex}"
     index.createOrReplaceTempView(view)
     tail = f" WHERE {where}" if where else ""
     try:
-        return index.sparkSession.sql(f"SELECT {columns} FROM {view} AS df{tail}")
+        return index.sparkSession.sql(f"WITH df AS (SELECT * FROM {view}) SELECT {columns} FROM df{tail}")
     finally:
         index.sparkSession.catalog.dropTempView(view)
 

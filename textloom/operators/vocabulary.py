@@ -12,11 +12,9 @@ from textloom.functions.text import decode, document_id
 from textloom.functions.words import has_category, ngrams, tokens, without, words
 from textloom.operators.lists import allow as allow_list
 from textloom.operators.lists import deny as deny_list
+from textloom.operators.select import select_sql
 from textloom.sources.readers import long_enough
 
-# Stop words that may travel inside the plan as a literal set.
-LITERAL_STOPWORDS = 10_000
-
 
 def vocabulary(
     docs: DataFrame,
@@ -26,47 +24,44 @@ def vocabulary(
     min_tf: int = 1,
     min_df: int = 1,
     categories: Sequence[str] = (),
-    stopwords: DataFrame | None = None,
+    stopwords: DataFrame | Sequence[str] | None = None,
     where: str | None = None,
     allow: DataFrame | None = None,
     deny: DataFrame | None = None,
     ordered: bool = True,
-    literal_stopwords: int = LITERAL_STOPWORDS,
 ) -> DataFrame:
     """Count the n-grams of the documents: token, tf and df.
 
     ``docs`` has path and content and whatever ``where`` and the lists use.
-    Windows run over the tokens that are left after the filters.
+    Windows run over the tokens that are left after the filters. Stop words
+    are a sequence, which becomes part of the plan, or a table of one column
+    and any size, which is joined. ``where`` is the SQL text after WHERE, over
+    the table ``df``.
     """
-    chosen = docs.filter(F.expr(where)) if where else docs
+    chosen = select_sql(docs, where=where) if where else docs
     if (allow is not None or deny is not None) and "ppn" not in chosen.columns:
         chosen = chosen.withColumn("ppn", document_id(F.col("path")))
     chosen = deny_list(allow_list(chosen, allow), deny)
 
-    literal: list[str] | None = []
-    if stopwords is not None:
+    if isinstance(stopwords, DataFrame):
         # A value that is not lower-case never equals a lower-cased token, but
         # it stays in the list, as the list is compared as it is.
-        stopwords = stopwords.toDF("value").where(long_enough(F.col("value"), min_token_len))
-        literal = _bounded_values(stopwords, literal_stopwords)
-
-    if literal is not None:
-        counted = _count_in_rows(chosen, n, min_token_len, categories, literal)
+        listed = stopwords.toDF("token").where(long_enough(F.col("token"), min_token_len)).distinct()
+        if n == 1:
+            counted = _count_in_rows(chosen, n, min_token_len, categories, ())
+            counted = counted.join(listed, "token", "left_anti")
+        else:
+            counted = _count_joined(chosen, n, min_token_len, categories, listed)
     else:
-        counted = _count_joined(chosen, n, min_token_len, categories, stopwords)
+        literal = [w for w in stopwords or () if len(w.encode("utf-8")) >= min_token_len]
+        counted = _count_in_rows(chosen, n, min_token_len, categories, literal)
     if min_tf > 1 or min_df > 1:
         counted = counted.where((F.col("tf") >= min_tf) & (F.col("df") >= min_df))
     return counted.orderBy(F.desc("tf"), F.desc("df"), "token") if ordered else counted
 
 
-def _bounded_values(df: DataFrame, bound: int) -> list[str] | None:
-    """All distinct values, or None if there are more than ``bound``."""
-    rows = df.distinct().limit(bound + 1).collect()
-    return [r[0] for r in rows] if len(rows) <= bound else None
-
-
 def _count_in_rows(
-    docs: DataFrame, n: int, min_token_len: int, categories: Sequence[str], stopwords: list[str]
+    docs: DataFrame, n: int, min_token_len: int, categories: Sequence[str], stopwords: Sequence[str]
 ) -> DataFrame:
     """Windows and distinct windows are formed inside the row of the document.
 
@@ -90,23 +85,26 @@ def _count_in_rows(
 def _count_joined(
     docs: DataFrame, n: int, min_token_len: int, categories: Sequence[str], stopwords: DataFrame
 ) -> DataFrame:
-    """For a stop-word list of any size: one row per token, an anti join, then a window."""
-    rows = docs.select(
-        "path", F.posexplode_outer(words(decode(F.col("content")))).alias("pos", "word")
-    )
+    """For a stop-word list of any size: one row per token, an anti join, then a window.
+
+    A document is known by its number in the scan here, so documents with the
+    same path, or the same in every column, never share a window.
+    """
+    numbered = docs.select(F.monotonically_increasing_id().alias("doc"), "content")
+    rows = numbered.select("doc", F.posexplode_outer(words(decode(F.col("content")))).alias("pos", "word"))
     keep = F.char_length("word") >= min_token_len
     if categories:
         keep = keep & has_category(F.col("word"), categories)
-    kept = rows.where(keep).select("path", "pos", F.lower("word").alias("value"))
-    kept = kept.join(stopwords.distinct(), "value", "left_anti")
-    order = Window.partitionBy("path").orderBy("pos")
-    parts = [F.col("value")] + [F.lead("value", k).over(order) for k in range(1, n)]
-    windows = kept.select("path", *[p.alias(f"t{k}") for k, p in enumerate(parts)])
+    kept = rows.where(keep).select("doc", "pos", F.lower("word").alias("token"))
+    kept = kept.join(stopwords, "token", "left_anti")
+    order = Window.partitionBy("doc").orderBy("pos")
+    parts = [F.col("token")] + [F.lead("token", k).over(order) for k in range(1, n)]
+    windows = kept.select("doc", *[p.alias(f"t{k}") for k, p in enumerate(parts)])
     whole = windows.where(F.col(f"t{n - 1}").isNotNull()).select(
-        "path", F.concat_ws(" ", *[f"t{k}" for k in range(n)]).alias("token")
+        "doc", F.concat_ws(" ", *[f"t{k}" for k in range(n)]).alias("token")
     )
     return (
-        whole.groupBy("path", "token")
+        whole.groupBy("doc", "token")
         .agg(F.count("*").alias("tf"))
         .groupBy("token")
         .agg(F.sum("tf").alias("tf"), F.count("*").alias("df"))

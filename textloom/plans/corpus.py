@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from textloom.functions import text as tx
 from textloom.functions.words import words
 from textloom.operators.compound import Remote
-from textloom.session import spread
 from textloom.sources.readers import read_table
 
 FOLDERS = ("article", "book", "chapter", "issue", "ft", "toc")
@@ -32,7 +31,7 @@ def path_of(doc_id: Column) -> Column:
 
 def corpus(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as a corpus: remote, path, mtime, content, lang_code."""
-    docs = spread(read_table(spark, sf, "documents").drop("n_chars"), "doc_id")
+    docs = read_table(spark, sf, "documents")
     return docs.select(
         F.col("source").alias("remote"),
         path_of(F.col("doc_id")).alias("path"),
@@ -42,6 +41,29 @@ def corpus(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def turns(spark: SparkSession, sf: str) -> DataFrame:
+    """The turns of the conversations as documents: short texts without a language."""
+    key = F.concat(F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"))
+    return read_table(spark, sf, "conversations").select(
+        F.concat(F.lit("data/chapter/"), key, F.lit(".txt")).alias("path"),
+        F.col("turn").alias("mtime"),
+        F.col("text").cast("binary").alias("content"),
+    )
+
+
+def shared_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """Two remotes, documents and pages, whose documents have the same paths."""
+    docs = corpus(spark, sf).withColumn("remote", F.lit("documents"))
+    pages = read_table(spark, sf, "pages").select(
+        F.lit("pages").alias("remote"),
+        path_of(F.col("page_id")).alias("path"),
+        (F.col("page_id") + EPOCH).alias("mtime"),
+        F.col("html").cast("binary").alias("content"),
+        F.lit(None).cast("string").alias("lang_code"),
+    )
+    return docs.unionByName(pages)
+
+
 def entries(docs: DataFrame) -> DataFrame:
     """Index columns that need no statistics, with the content."""
     return docs.select(
@@ -86,7 +108,7 @@ def stopwords(spark: SparkSession, sf: str) -> DataFrame:
 
 def identifier_corpus(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with identifiers before and after their whole text."""
-    docs = spread(read_table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    docs = read_table(spark, sf, "documents")
     key = F.col("doc_id").cast("string")
 
     def padded(width: int) -> Column:
@@ -134,24 +156,13 @@ def files_side(spark: SparkSession, sf: str) -> DataFrame:
 def remotes(spark: SparkSession, sf: str) -> list[Remote]:
     """Indexes of four tables, each with its own predicate; one has a narrower mtime."""
     documents = index(spark, sf).drop("lang_code")
-    pages = spread(read_table(spark, sf, "pages"), "page_id").select(
+    pages = read_table(spark, sf, "pages").select(
         F.lit("pages").alias("remote"),
         F.concat(F.lit("data/other/"), F.col("page_id").cast("string"), F.lit(".txt")).alias("path"),
         F.lit(0).alias("mtime"),
         F.col("html").cast("binary").alias("content"),
     )
-    turns = spread(read_table(spark, sf, "conversations"), "conv_id", "turn").select(
-        F.lit("conversations").alias("remote"),
-        F.concat(
-            F.lit("data/chapter/"),
-            F.col("conv_id").cast("string"),
-            F.lit("-"),
-            F.col("turn").cast("string"),
-            F.lit(".txt"),
-        ).alias("path"),
-        F.col("turn").alias("mtime"),
-        F.col("text").cast("binary").alias("content"),
-    )
+    talk = turns(spark, sf).withColumn("remote", F.lit("conversations"))
     items = read_table(spark, sf, "benchmark").select(
         F.lit("benchmark").alias("remote"),
         F.concat(F.lit("data/toc/"), F.col("item_id").cast("string"), F.lit(".txt")).alias("path"),
@@ -161,8 +172,9 @@ def remotes(spark: SparkSession, sf: str) -> list[Remote]:
     return [
         Remote("documents", documents, "size > 500 AND doctype <> 'toc'"),
         Remote("pages", entries(pages).drop("content")),
-        Remote("conversations", entries(turns).drop("content"), "size BETWEEN 100 AND 1000"),
+        Remote("conversations", entries(talk).drop("content"), "size BETWEEN 100 AND 1000"),
         Remote("benchmark", entries(items).drop("content"), "size < 0"),
+        Remote("items", entries(items.withColumn("remote", F.lit("items"))).drop("content"), "size > 0"),
     ]
 
 
@@ -189,14 +201,7 @@ def records(spark: SparkSession, sf: str) -> DataFrame:
             field("041A", F.lit(""), subfield("9", F.lit("0"))),
         ).alias("fields"),
     )
-    lines = spread(
-        read_table(spark, sf, "lineitem").select(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag"
-        ),
-        "l_orderkey",
-        "l_linenumber",
-    )
-    items = lines.select(
+    items = read_table(spark, sf, "lineitem").select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias(
             "record_id"
         ),
@@ -216,6 +221,17 @@ def records(spark: SparkSession, sf: str) -> DataFrame:
     return parts.unionByName(items)
 
 
+def repeated_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Authority records in two editions; the second of every third part has another kind."""
+    first = records(spark, sf).where(F.size("fields") == 2).withColumn("edition", F.lit(1))
+    moved = F.col("record_id").cast("long") % 3 == 0
+    code = F.element_at("fields", 1)["subfields"][0]["value"]
+    other = F.struct(F.lit("002@").alias("tag"), F.lit("").alias("occurrence"),
+                     F.array(F.struct(F.lit("0").alias("code"), F.when(moved, "Tu1").otherwise(code).alias("value"))).alias("subfields"))
+    second = first.withColumn("fields", F.array(other, F.element_at("fields", 2))).withColumn("edition", F.lit(2))
+    return first.unionByName(second)
+
+
 def part_authorities(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, sf, "part").select(
         F.col("p_partkey").cast("string").alias("ppn"), F.col("p_type").alias("kind")

@@ -81,29 +81,39 @@ ratios AS (
          round(CASE WHEN text = '' THEN 0 ELSE
            length(regexp_replace(text, '[^\p{L}\p{N}]', '', 'g')) / length(text) END, 6) AS alphanum
   FROM corpus)"""
-_LANG = r"""
-runs AS (SELECT path, lang_code, unnest(regexp_extract_all(lower(text), '\p{L}{2,}')) AS w FROM corpus),
-grams AS (SELECT path, lang_code,
-                 unnest(list_transform(range(1, length(w)), lambda i: substr(w, i, 2))) AS gram
-          FROM runs),
-langs AS (SELECT DISTINCT lang_code FROM corpus),
-vocab AS (SELECT DISTINCT gram FROM grams),
-fitted AS (SELECT lang_code, gram, count(*) AS n FROM grams GROUP BY ALL),
+def _lang(texts: str) -> str:
+    """Fitted on the corpus, detected on ``texts`` with a ``path`` and a ``text``."""
+    return rf"""
+runs AS (SELECT lang_code, unnest(regexp_extract_all(lower(text), '\p{{L}}{{2,}}')) AS w FROM corpus),
+fitted AS (SELECT lang_code, gram, count(*) AS n FROM (
+             SELECT lang_code, unnest(list_transform(range(1, length(w)), lambda i: substr(w, i, 2))) AS gram
+             FROM runs) GROUP BY ALL),
+vocab AS (SELECT DISTINCT gram FROM fitted),
 whole AS (SELECT lang_code, sum(n) AS n FROM fitted GROUP BY ALL),
-weights AS (
-  SELECT l.lang_code, v.gram,
-         ln((coalesce(f.n, 0) + 1)::DOUBLE / (w.n + (SELECT count(*) FROM vocab))) AS weight
-  FROM langs l CROSS JOIN vocab v JOIN whole w ON w.lang_code = l.lang_code
-  LEFT JOIN fitted f ON f.lang_code = l.lang_code AND f.gram = v.gram),
-times AS (SELECT path, gram, count(*) AS times FROM grams GROUP BY ALL),
-scores AS (SELECT path, weights.lang_code, sum(weight * times) AS score
-           FROM times JOIN weights USING (gram) GROUP BY ALL),
+rates AS (SELECT lang_code, (n + (SELECT count(*) FROM vocab))::DOUBLE AS rate FROM whole),
+asked AS (SELECT path, unnest(regexp_extract_all(lower(text), '\p{{L}}{{2,}}')) AS w FROM {texts}),
+times AS (SELECT path, gram, count(*) AS times FROM (
+            SELECT path, unnest(list_transform(range(1, length(w)), lambda i: substr(w, i, 2))) AS gram
+            FROM asked) GROUP BY ALL),
+scores AS (SELECT path, r.lang_code, sum(times * ln((coalesce(f.n, 0) + 1) / r.rate)) AS score
+           FROM times CROSS JOIN rates r
+           LEFT JOIN fitted f ON f.lang_code = r.lang_code AND f.gram = times.gram GROUP BY ALL),
 best AS (SELECT path, max(score) AS top FROM scores GROUP BY path),
 picked AS (SELECT s.path, arg_max(s.lang_code, s.score) AS lang_code,
                   1 / sum(exp(s.score - b.top)) AS lang_score
            FROM scores s JOIN best b USING (path) GROUP BY s.path),
 detected AS (SELECT c.path, p.lang_code, round(p.lang_score, 6) AS lang_score
-             FROM corpus c LEFT JOIN picked p USING (path))"""
+             FROM {texts} c LEFT JOIN picked p USING (path))"""
+
+
+_TURNS = """
+turns AS (SELECT 'data/chapter/' || conv_id || '-' || turn || '.txt' AS path, text FROM conversations)"""
+_DIRS = "['article', 'book', 'chapter', 'issue', 'ft', 'toc']"
+_SHARED = f"""
+shared AS (
+  SELECT 'documents' AS remote, path, text, mtime, size, digest FROM corpus
+  UNION ALL SELECT 'pages', 'data/' || ({_DIRS})[page_id % 6 + 1] || '/' || page_id || '.txt', html,
+                   {c.EPOCH} + page_id, strlen(html), sha256(html) FROM pages)"""
 
 
 def _vocabulary(
@@ -212,8 +222,12 @@ r_conversations AS (SELECT * FROM ({_remote('''SELECT 'conversations' AS remote,
 r_benchmark AS (SELECT * FROM ({_remote('''SELECT 'benchmark' AS remote,
        'data/toc/' || item_id || '.txt' AS path, CAST(item_id AS VARCHAR) AS ppn, 'toc' AS doctype,
        item_id AS mtime, text FROM benchmark''')}) WHERE size < 0),
+r_items AS (SELECT * FROM ({_remote('''SELECT 'items' AS remote,
+       'data/toc/' || item_id || '.txt' AS path, CAST(item_id AS VARCHAR) AS ppn, 'toc' AS doctype,
+       item_id AS mtime, text FROM benchmark''')}) WHERE size > 0),
 compound AS (SELECT * FROM r_documents UNION ALL SELECT * FROM r_pages
-             UNION ALL SELECT * FROM r_conversations UNION ALL SELECT * FROM r_benchmark)"""
+             UNION ALL SELECT * FROM r_conversations UNION ALL SELECT * FROM r_benchmark
+             UNION ALL SELECT * FROM r_items)"""
 
 
 def _summary(source: str) -> str:
@@ -277,8 +291,12 @@ SELECT path, size, chars, words, avg_word_len FROM corpus JOIN stats USING (path
     "lang_code": f"WITH {_CORPUS} SELECT doc_id, lang_code FROM corpus",
     "lfreq_distance": f"""WITH {_CORPUS}, {_distances("corpus")}
 SELECT path, round(dist_ger, 6) AS dist_ger, round(dist_eng, 6) AS dist_eng FROM distances""",
-    "lang_detect": f"WITH {_CORPUS}, {_LANG} SELECT * FROM detected",
-    "build_index": f"""WITH {_CORPUS}, {_STATS}, {_RATIOS}, {_distances("corpus")}, {_LANG}
+    "lang_detect": f"WITH {_CORPUS}, {_TURNS}, {_lang('turns')} SELECT * FROM detected",
+    "index_shared_paths": f"""WITH {_CORPUS}, {_SHARED},
+named AS (SELECT remote || '|' || path AS path, text FROM shared), {_lang('named')}
+SELECT s.remote, s.path, substr(s.digest, 1, 8) AS hash, lang_code, lang_score, s.size
+FROM shared s JOIN detected d ON d.path = s.remote || '|' || s.path""",
+    "build_index": f"""WITH {_CORPUS}, {_STATS}, {_RATIOS}, {_distances("corpus")}, {_lang("corpus")}
 SELECT remote, path, hash, ppn, doctype, d.lang_code, lang_score,
        round(CASE d.lang_code WHEN 'ger' THEN dist_ger WHEN 'eng' THEN dist_eng END, 6) AS lfreq,
        alpha, alphanum, words, avg_word_len, size, chars AS strlen, mtime
@@ -296,6 +314,8 @@ FROM corpus""",
     "select_sql_tail": f"""WITH {_CORPUS}
 SELECT lang_code, doctype, count(*) AS docs, max(size) AS largest FROM corpus WHERE size > 100
 GROUP BY lang_code, doctype HAVING count(*) > 2 ORDER BY docs DESC""",
+    "select_subquery": f"""WITH {_CORPUS}
+SELECT ppn, size FROM corpus WHERE size >= (SELECT avg(size) FROM corpus) AND doctype <> 'toc'""",
     "select_allow": f"""WITH {_CORPUS}, {_ALLOW}
 SELECT ppn, path, size FROM corpus WHERE ppn IN (SELECT ppn FROM allow)""",
     "select_allow_multikey": f"""WITH {_CORPUS}, {_ALLOW}
@@ -325,6 +345,9 @@ FROM corpus WHERE regexp_matches(text, '{PATTERN}')""",
     "grep_header": f"""WITH {_CORPUS}
 SELECT ppn, lang_code, CAST(length(path) AS INTEGER) AS path_len FROM corpus
 WHERE lang_code <> 'eng' AND regexp_matches(text, '{PATTERN}')""",
+    "grep_where_tail": f"""WITH {_CORPUS},
+chosen AS (SELECT * FROM corpus WHERE size > (SELECT min(size) FROM corpus) ORDER BY size DESC, path LIMIT 50)
+SELECT {_ENTRY} FROM chosen WHERE regexp_matches(text, '{PATTERN}')""",
     "ngram_unigrams": _vocabulary(1),
     "ngram_bigrams": _vocabulary(2),
     "ngram_trigrams": _vocabulary(3),
@@ -335,6 +358,19 @@ WHERE lang_code <> 'eng' AND regexp_matches(text, '{PATTERN}')""",
     "ngram_category": _vocabulary(2, keep=r"regexp_matches(word, '[\p{Lu}\p{Lt}]')"),
     "ngram_stopwords": _vocabulary(2, keep=_NO_STOP, ctes=f", {_STOP}"),
     "ngram_stopwords_join": _vocabulary(3, keep=_NO_STOP, ctes=f", {_STOP}"),
+    "ngram_stopwords_unigrams": _vocabulary(1, keep=_NO_STOP, ctes=f", {_STOP}"),
+    "ngram_shared_paths": _vocabulary(
+        2,
+        keep=_NO_STOP,
+        source="named",
+        ctes=f", {_STOP}, {_SHARED}, named AS (SELECT remote || '|' || path AS path, text FROM shared)",
+    ),
+    "ngram_where_tail": _vocabulary(
+        1,
+        source="chosen",
+        ctes=""", chosen AS (SELECT * FROM corpus WHERE lang_code IN (SELECT max(lang_code) FROM corpus)
+ORDER BY path LIMIT 40)""",
+    ),
     "ngram_allow_deny": _vocabulary(
         1,
         source="chosen",
@@ -343,6 +379,18 @@ AND ppn IN (SELECT ppn FROM allow) AND ppn NOT IN (SELECT ppn FROM deny))""",
     ),
     **{f"refs_{k}": _references(k) for k in _PATTERNS},
     "refs_all": _references(*_PATTERNS),
+    "refs_shared_paths": f"""WITH {_CORPUS}, {_SHARED}
+SELECT remote, path, 'issn' AS type, '1234-567' || length(remote) AS value,
+       CAST(0 AS BIGINT) AS "start", CAST(14 AS BIGINT) AS "end" FROM shared""",
+    "refs_custom": f"""WITH {_CORPUS},
+pieces AS (SELECT path, regexp_extract_all(text, 'the[a-z] ') AS hits,
+                  string_split_regex(text, 'the[a-z] ') AS gaps FROM corpus),
+found AS (SELECT path, hits, gaps, unnest(range(1, len(hits) + 1)) AS i FROM pieces),
+placed AS (SELECT path, substr(hits[i], 3, 2) AS value,
+                  CAST(list_sum(list_transform(gaps[1:i], lambda x: strlen(x)))
+                  + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: strlen(x))), 0) + 2 AS BIGINT) AS "start"
+           FROM found)
+SELECT path, 'tail' AS type, value, "start", "start" + 2 AS "end" FROM placed""",
     "inventory_status": f"""WITH {_SIDES}
 SELECT * FROM (
   SELECT CASE WHEN f.path IS NULL THEN 'missing' WHEN i.path IS NULL THEN 'untracked'
@@ -351,6 +399,14 @@ SELECT * FROM (
          starts_with(f.digest, i.hash) AS hash_ok, f.mtime = i.mtime AS mtime_ok,
          f.size = i.size AS size_ok, coalesce(i.path, f.path) AS path
   FROM idx i FULL JOIN files f ON f.path = i.path) WHERE status IS NOT NULL""",
+    "status_shared_paths": f"""WITH {_CORPUS}, {_SHARED},
+idx AS (SELECT remote, path, substr(digest, 1, 8) AS hash, mtime, size FROM shared WHERE remote = 'pages' OR size > 1000),
+files AS (SELECT remote, path, digest, mtime, size FROM shared WHERE remote = 'documents' OR size > 3000)
+SELECT * FROM (
+  SELECT CASE WHEN f.path IS NULL THEN 'missing' WHEN i.path IS NULL THEN 'untracked' END AS status,
+         starts_with(f.digest, i.hash) AS hash_ok, f.mtime = i.mtime AS mtime_ok, f.size = i.size AS size_ok,
+         coalesce(i.remote, f.remote) AS remote, coalesce(i.path, f.path) AS path
+  FROM idx i FULL JOIN files f ON f.path = i.path AND f.remote = i.remote) WHERE status IS NOT NULL""",
     "inventory_missing": f"""WITH {_SIDES}
 SELECT {_ENTRY} FROM idx
 WHERE path NOT IN (SELECT path FROM files)""",
@@ -379,7 +435,11 @@ SELECT remote, doctype AS kind, CAST(docs AS VARCHAR) AS docs, {_human("size")}
 SELECT 'documents' AS remote, count(*) AS docs FROM r_documents
 UNION ALL SELECT 'pages', count(*) FROM r_pages
 UNION ALL SELECT 'conversations', count(*) FROM r_conversations
-UNION ALL SELECT 'benchmark', count(*) FROM r_benchmark""",
+UNION ALL SELECT 'benchmark', count(*) FROM r_benchmark
+UNION ALL SELECT 'items', count(*) FROM r_items""",
+    "compound_where_tail": f"""WITH {_REMOTES}
+SELECT * FROM (SELECT {_REMOTE_COLUMNS} FROM corpus WHERE size > 0 ORDER BY size DESC, path LIMIT 30)
+UNION ALL SELECT * FROM r_pages WHERE size > (SELECT avg(size) FROM r_pages)""",
     "authority_links": f"WITH {_LINKS} SELECT target, links FROM links",
     "authority_threshold": f"""WITH {_LINKS}
 {_authorities({"STANDARD": 25, "LARGE": 30, "MEDIUM": 35, "ECONOMY": 40, "PROMO": 0}, "p_type", "links")}""",
@@ -393,6 +453,8 @@ GROUP BY target""",
     "authority_vocab": f"""WITH counted AS (
   SELECT CAST(l_partkey AS VARCHAR) AS target, count(*) AS links FROM lineitem GROUP BY l_partkey)
 {_authorities({"corporate-body": 25, "conference": 30, "person": 40}, _KIND, "counted")}""",
+    "authority_repeated": f"""
+SELECT CAST(p_partkey AS VARCHAR) AS ppn, CASE WHEN p_partkey % 3 = 0 THEN 'work' ELSE {_KIND} END AS kind FROM part""",
     "record_filter": """
 SELECT l_orderkey || '-' || l_linenumber AS record_id, count(*) AS records
 FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1""",
@@ -420,8 +482,9 @@ SELECT path, username, event_id, hash, rating, comment, reason,
 SELECT remote, path, hash, ppn FROM corpus
 WHERE lang_code <> 'eng' AND doc_id NOT IN (SELECT doc_id FROM labels)""",
     "rating_latest": f"""WITH {_EVENTS}
-SELECT 'events' AS remote, path, hash, rating, comment, username, event_id AS created_at
-FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY event_id DESC) AS rn FROM rated)
+SELECT 'events' AS remote, path, hash, rating, comment, username, event_id % 7 AS created_at
+FROM (SELECT *, row_number() OVER (PARTITION BY path
+        ORDER BY event_id % 7 DESC, username DESC, rating DESC, comment DESC, hash DESC) AS rn FROM rated)
 WHERE rn = 1""",
 }
 _WIDE = ", ".join(

@@ -12,7 +12,7 @@ from textloom.functions import text as tx
 from textloom.functions.words import word_stats
 from textloom.operators import authority, inventory, ratings
 from textloom.operators import index as idx
-from textloom.operators.compound import compound_index, remote_counts
+from textloom.operators.compound import Remote, compound_index, remote_counts
 from textloom.operators.grep import grep
 from textloom.operators.language import LanguageModel
 from textloom.operators.letter_table import letter_table
@@ -107,8 +107,9 @@ def lfreq_distance(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def lang_detect(spark: SparkSession, sf: str) -> DataFrame:
-    docs = c.corpus(spark, sf)
-    return rounded(LanguageModel.fit(docs).detect(docs), "lang_score")
+    """Fitted on the documents, detected on the turns, which are shorter."""
+    model = LanguageModel.fit(c.corpus(spark, sf))
+    return rounded(model.detect(c.turns(spark, sf)), "lang_score")
 
 
 @query
@@ -119,6 +120,13 @@ def build_index(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(found, "lang_score", "lfreq", "alpha", "alphanum", "avg_word_len")
 
 
+@query
+def index_shared_paths(spark: SparkSession, sf: str) -> DataFrame:
+    docs = c.shared_paths(spark, sf)
+    found = idx.build_index(docs, F.col("remote"), LanguageModel.fit(docs).detect(docs))
+    return rounded(found, "lang_score").select("remote", "path", "hash", "lang_code", "lang_score", "size")
+
+
 @query
 def shrink_index(spark: SparkSession, sf: str) -> DataFrame:
     narrow = shrink_schema(durable(c.index(spark, sf)))
@@ -159,6 +167,13 @@ def select_sql_tail(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def select_subquery(spark: SparkSession, sf: str) -> DataFrame:
+    return select(
+        c.index(spark, sf), columns="ppn, size", where="size >= (SELECT avg(size) FROM df) AND doctype <> 'toc'"
+    )
+
+
 @query
 def select_allow(spark: SparkSession, sf: str) -> DataFrame:
     return select(c.index(spark, sf), columns="ppn, path, size", allow=c.allow_list(spark, sf))
@@ -250,6 +265,17 @@ def grep_header(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def grep_where_tail(spark: SparkSession, sf: str) -> DataFrame:
+    docs = c.corpus(spark, sf)
+    return grep(
+        c.entries(docs).drop("content"),
+        PATTERN,
+        docs,
+        where="size > (SELECT min(size) FROM df) ORDER BY size DESC, path LIMIT 50",
+    )
+
+
 # Vocabulary --------------------------------------------------------------
 
 
@@ -285,12 +311,31 @@ def ngram_category(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def ngram_stopwords(spark: SparkSession, sf: str) -> DataFrame:
-    return vocabulary(c.corpus(spark, sf), 2, stopwords=c.stopwords(spark, sf))
+    """Stop words that the caller has at hand: the words of the benchmark."""
+    listed = [r["value"] for r in c.stopwords(spark, sf).orderBy("value").collect()]
+    return vocabulary(c.corpus(spark, sf), 2, stopwords=listed)
 
 
 @query
 def ngram_stopwords_join(spark: SparkSession, sf: str) -> DataFrame:
-    return vocabulary(c.corpus(spark, sf), 3, stopwords=c.stopwords(spark, sf), literal_stopwords=0)
+    return vocabulary(c.corpus(spark, sf), 3, stopwords=c.stopwords(spark, sf))
+
+
+@query
+def ngram_stopwords_unigrams(spark: SparkSession, sf: str) -> DataFrame:
+    return vocabulary(c.corpus(spark, sf), 1, stopwords=c.stopwords(spark, sf))
+
+
+@query
+def ngram_shared_paths(spark: SparkSession, sf: str) -> DataFrame:
+    return vocabulary(c.shared_paths(spark, sf), 2, stopwords=c.stopwords(spark, sf))
+
+
+@query
+def ngram_where_tail(spark: SparkSession, sf: str) -> DataFrame:
+    return vocabulary(
+        c.corpus(spark, sf), where="lang_code IN (SELECT max(lang_code) FROM df) ORDER BY path LIMIT 40"
+    )
 
 
 @query
@@ -315,6 +360,22 @@ def _references_of(*kinds: str) -> Query:
 
 for _kind in PATTERNS:
     QUERIES[f"refs_{_kind}"] = _references_of(_kind)
+
+
+@query
+def refs_shared_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """Identifiers of both remotes; each document has its own in front."""
+    docs = c.shared_paths(spark, sf)
+    name = F.concat(F.lit("ISSN 1234-567"), F.length("remote").cast("string"), F.lit(" "), F.col("content").cast("string"))
+    return references(docs.withColumn("content", name.cast("binary")), {"issn": PATTERNS["issn"]})
+
+
+@query
+def refs_custom(spark: SparkSession, sf: str) -> DataFrame:
+    """A kind of one's own, whose pattern looks around itself."""
+    return references(c.corpus(spark, sf).drop("remote"), {"tail": r"(?<=th)(e[a-z])(?= )"})
+
+
 QUERIES["refs_all"] = _references_of(*PATTERNS)
 
 
@@ -326,6 +387,13 @@ def inventory_status(spark: SparkSession, sf: str) -> DataFrame:
     return inventory.status(c.indexed_side(spark, sf), c.files_side(spark, sf))
 
 
+@query
+def status_shared_paths(spark: SparkSession, sf: str) -> DataFrame:
+    docs = c.shared_paths(spark, sf)
+    indexed = c.entries(docs).drop("content").where("remote = 'pages' OR size > 1000")
+    return inventory.status(indexed, docs.where("remote = 'documents' OR octet_length(content) > 3000"))
+
+
 @query
 def inventory_missing(spark: SparkSession, sf: str) -> DataFrame:
     return inventory.missing(c.indexed_side(spark, sf), c.files_side(spark, sf))
@@ -398,6 +466,18 @@ def remote_counts_query(spark: SparkSession, sf: str) -> DataFrame:
     return remote_counts(c.remotes(spark, sf))
 
 
+@query
+def compound_where_tail(spark: SparkSession, sf: str) -> DataFrame:
+    """The largest documents of one remote beside the pages above the mean."""
+    documents, pages, *_ = c.remotes(spark, sf)
+    return compound_index(
+        [
+            Remote("documents", documents.index, "size > 0 ORDER BY size DESC, path LIMIT 30"),
+            Remote("pages", pages.index, "size > (SELECT avg(size) FROM df)"),
+        ]
+    )
+
+
 QUERIES["compound_index"] = QUERIES.pop("compound_index_query")
 QUERIES["remote_counts"] = QUERIES.pop("remote_counts_query")
 
@@ -450,6 +530,12 @@ def authority_vocab(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def authority_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of two editions: the last one counts."""
+    return authority.authorities(c.repeated_records(spark, sf), c.URI_BASE, order_by="edition").select("ppn", "kind")
+
+
 @query
 def record_filter(spark: SparkSession, sf: str) -> DataFrame:
     returned = rec.any_subfield(F.col("fields"), "010@", "a", lambda v: v == "R")
@@ -493,6 +579,6 @@ def rating_latest(spark: SparkSession, sf: str) -> DataFrame:
         "rating",
         "comment",
         "username",
-        F.col("event_id").alias("created_at"),
+        (F.col("event_id") % 7).alias("created_at"),
     )
     return ratings.latest_ratings(log)

@@ -1,4 +1,4 @@
-"""Session defaults, reliable lineage cuts and scan widening."""
+"""Session defaults and reliable lineage cuts."""
 
 from __future__ import annotations
 
@@ -46,16 +46,3 @@ def durable(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="textloom-checkpoint-")
         sc.setCheckpointDir(folder)
     return df.checkpoint()
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Widen a scan that has fewer partitions than the cluster has cores.
-
-    Text operators are bound by CPU, so a small table in one file is worth one
-    shuffle. A large table already has more splits than cores and is returned
-    as it is: its text is never shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)

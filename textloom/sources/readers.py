@@ -12,11 +12,18 @@ from textloom.functions.text import relative_path
 def read_corpus(spark: SparkSession, base_dir: str, data_dir: str = "data") -> DataFrame:
     """Documents below ``base_dir/data_dir``: path, mtime, size and content.
 
-    Paths are relative to ``base_dir``. A plan that does not use ``content``
-    lists the files without reading them.
+    Paths are relative to ``base_dir``, which lies in the default file system
+    unless it names another. A plan that does not use ``content`` lists the
+    files without reading them. Spark never lists names that begin with ``_``
+    or ``.``: a document below such a name is refused by an error that names it.
     """
-    base = base_dir if "://" in base_dir or base_dir.startswith("file:") else f"file:{base_dir}"
-    base = base.rstrip("/")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(base_dir)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    base = store.makeQualified(place).toString().rstrip("/")
+    hidden = _hidden(store, hadoop.Path(f"{base}/{data_dir}"))
+    if hidden:
+        raise ValueError(f"documents that Spark does not list: {', '.join(hidden)}")
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -31,6 +38,21 @@ def read_corpus(spark: SparkSession, base_dir: str, data_dir: str = "data") -> D
     )
 
 
+def _hidden(store, folder, below: bool = False, most: int = 5) -> list[str]:
+    """The first documents with a hidden name, or below a folder with one."""
+    found: list[str] = []
+    entries = store.listStatusIterator(folder)
+    while len(found) < most and entries.hasNext():
+        entry = entries.next()
+        name = entry.getPath().getName()
+        hides = below or name[0] in "_."
+        if entry.isDirectory():
+            found += _hidden(store, entry.getPath(), hides, most - len(found))
+        elif hides and name.endswith(".txt"):
+            found.append(entry.getPath().toString())
+    return found
+
+
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """An index written by this library; any path may stand in for the default one."""
     return spark.read.parquet(path)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.operators.keys import document_key
 from textloom.operators.shrink import shrink_schema
 from textloom.session import durable
 
@@ -23,21 +27,59 @@ def write_table(df: DataFrame, path: str, append: bool = False, default: str = "
     """Write as CSV or ZSTD Parquet, chosen by the suffix of ``path``.
 
     ``append`` adds files to an existing output of the same schema. The files
-    already there are not rewritten, so a failed append leaves them whole.
+    already there are not rewritten, so a failed append leaves them whole. An
+    output that exists is replaced when the new one is complete, so a table may
+    be written back to where it was read from.
     """
     suffix = path.rsplit("/", 1)[-1].rpartition(".")[2]
     kind = suffix if suffix in ("csv", "parquet") else default
-    mode = "append" if append else "overwrite"
-    if kind == "csv":
-        if append:
-            have = df.sparkSession.read.csv(path, header=True, inferSchema=False).columns
-            if have != df.columns:
-                raise ValueError(f"columns differ: {have} and {df.columns}")
-        df.write.mode(mode).csv(path, header=True)
+    spark = df.sparkSession
+
+    def save(place: str) -> None:
+        mode = "append" if append else "error"
+        if kind == "csv":
+            df.write.mode(mode).csv(place, header=True)
+        else:
+            df.write.mode(mode).option("compression", "zstd").parquet(place)
+
+    if not append:
+        _replace(spark, path, save)
         return
-    if append:
-        append_rows(df.sparkSession.read.parquet(path), df)
-    df.write.mode(mode).option("compression", "zstd").parquet(path)
+    if kind == "csv":
+        have = spark.read.csv(path, header=True, inferSchema=False).columns
+        if have != df.columns:
+            raise ValueError(f"columns differ: {have} and {df.columns}")
+    else:
+        append_rows(spark.read.parquet(path), df)
+    save(path)
+
+
+def _replace(spark: SparkSession, path: str, save: Callable[[str], None]) -> None:
+    """Save beside ``path``, then let the new output take its place.
+
+    A save that fails leaves the old output as it was, and so does a failed
+    move. Both folders are in one file system, so moving is renaming.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    target = store.makeQualified(target)
+    beside = f"_{target.getName()}.{uuid.uuid4().hex}"
+    new, old = (hadoop.Path(target.getParent(), f"{beside}.{age}") for age in ("new", "old"))
+    try:
+        save(new.toString())
+    except Exception:
+        store.delete(new, True)
+        raise
+    replaced = store.exists(target)
+    if replaced and not store.rename(target, old):
+        raise OSError(f"can't move {target}")
+    if not store.rename(new, target):
+        if replaced:
+            store.rename(old, target)
+        raise OSError(f"can't move {new} to {target}")
+    if replaced:
+        store.delete(old, True)
 
 
 def write_index(index: DataFrame, path: str) -> None:
@@ -51,23 +93,34 @@ def write_index(index: DataFrame, path: str) -> None:
 
 def write_json(summary: DataFrame, path: str) -> None:
     """Write a frame of one string column as text."""
-    summary.write.mode("overwrite").text(path)
+    _replace(summary.sparkSession, path, summary.write.text)
 
 
 def write_vocabulary(vocabulary: DataFrame, path: str) -> None:
     """Write authorities as CSV, ordered by identifier."""
     ordered = vocabulary.orderBy("ppn").select("uri", "label", "notation")
-    ordered.write.mode("overwrite").csv(path, header=True)
+    _replace(vocabulary.sparkSession, path, lambda place: ordered.write.csv(place, header=True))
 
 
 def write_snapshot(documents: DataFrame, index: DataFrame, path: str) -> None:
     """Write the listed documents, by document type, next to their index."""
-    documents.write.mode("overwrite").partitionBy("doctype").option(
-        "compression", "zstd"
-    ).parquet(f"{path}/data")
+    listed = documents.write.partitionBy("doctype").option("compression", "zstd")
+    _replace(documents.sparkSession, f"{path}/data", listed.parquet)
     write_table(index, f"{path}/index.parquet")
 
 
+def write_bucketed(documents: DataFrame, table: str, buckets: int) -> None:
+    """Save documents as a table in buckets of their key, sorted within each.
+
+    A join with an index on that key leaves the text where it is, however long
+    the index is.
+    """
+    key = document_key(documents)
+    documents.write.mode("overwrite").bucketBy(buckets, *key).sortBy(*key).option(
+        "compression", "zstd"
+    ).saveAsTable(table, format="parquet")
+
+
 def read_snapshot(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Documents and index of a snapshot; refuses one that lacks a listed document."""
     try:
@@ -75,7 +128,8 @@ def read_snapshot(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
         index = spark.read.parquet(f"{path}/index.parquet")
     except AnalysisException as error:
         raise ValueError(f"corrupt snapshot: {path} lacks its documents or its index") from error
-    absent = index.select("path").join(documents.select("path"), "path", "left_anti").limit(1)
-    if not absent.isEmpty():
-        raise ValueError(f"corrupt snapshot: no document for {absent.first()['path']}")
+    key = document_key(index, documents)
+    absent = index.select(key).join(documents.select(key), key, "left_anti").first()
+    if absent:
+        raise ValueError(f"corrupt snapshot: no document for {absent['path']}")
     return documents.withColumn("doctype", F.col("doctype").cast("string")), index
