@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 import pyarrow as pa
@@ -36,6 +37,7 @@ _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>""",
     re.S,
 )
+_BEGUN = re.compile(r"<[A-Za-z/!?]")
 _NAMED = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _UNLIKELY = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|alerts?|banners?|bread-?crumbs?|consent|cookies?|disclaimer|disqus|foot(?:er)?|gdpr|head(?:er)?|login|"
@@ -54,9 +56,13 @@ class _Tree:
     def __init__(self, page: str):
         self.tag, self.parent, self.dead, self.weight = ["#"], [0], [False], [0.0]
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters in links
-        self._stack, self._pieces, self._owner, self._linked, self._links = [0], [], 0, 0, 0
-        at = 0
-        while m := _TAG.search(page, at):
+        self._stack, self._pieces, self._owner, self._linked = [0], [], 0, 0
+        self._opened: Counter[str] = Counter()  # open elements by name
+        at, last = 0, page.rfind(">") + 1
+        # A tag that the page breaks off in is none; nor is anything after it.
+        if broken := _BEGUN.search(page, last):
+            page = page[: broken.start()]
+        while m := _TAG.search(page, at, last):
             self._text(page[at : m.start()])
             at = m.end()
             slash, name, rest = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
@@ -78,7 +84,7 @@ class _Tree:
     def _text(self, text: str) -> None:
         if text and not self.dead[self._stack[-1]]:
             self._pieces.append(text)
-            if self._links:
+            if self._opened["a"]:
                 self._linked += len(text)
 
     def _flush(self) -> None:
@@ -110,7 +116,7 @@ class _Tree:
         self.dead.append(dead)
         self.weight.append(weight)
         self._stack.append(len(self.tag) - 1)
-        self._links += name == "a"
+        self._opened[name] += 1
         if name in BLOCKS:
             self._flush()
 
@@ -119,6 +125,8 @@ class _Tree:
 
     def _imply(self, names: set) -> None:
         """Close an open element of the names, if no other scope lies between."""
+        if not any(self._opened[n] for n in names):
+            return
         for i in range(len(self._stack) - 1, 0, -1):
             tag = self.tag[self._stack[i]]
             if tag in names:
@@ -128,6 +136,8 @@ class _Tree:
                 return
 
     def _close(self, name: str) -> None:
+        if not self._opened[name]:
+            return
         for i in range(len(self._stack) - 1, 0, -1):
             if self.tag[self._stack[i]] == name:
                 self._cut(i)
@@ -137,7 +147,7 @@ class _Tree:
         gone = self._stack[i:]
         if any(self.tag[n] in BLOCKS for n in gone):
             self._flush()
-        self._links -= sum(self.tag[n] == "a" for n in gone)
+        self._opened.subtract(self.tag[n] for n in gone)
         del self._stack[i:]
         if any(self.tag[n] in BLOCKS for n in gone):
             self._flush()
