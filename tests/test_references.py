@@ -5,7 +5,7 @@ import pytest
 from textloom.functions.references import PATTERNS
 from textloom.operators.references import references
 
-# The same identifiers for Python's byte patterns.
+# The same identifiers for Python's byte patterns.
 BYTES = {
     "isbn": rb"(?i)ISBN(?:-1[03])?(?::?\s*)?\s((?:97[89][- ]?)?\d{1,5}[- ]?(?:\d+[- ]?){2}(?:\d|X))",
     "issn": rb"(?i)ISSN(?::?\s*)?\s(\d{4}-\d{4})",
