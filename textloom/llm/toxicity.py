@@ -5,12 +5,12 @@ from __future__ import annotations
 import random
 import re
 import zlib
-from collections import defaultdict
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +28,7 @@ TRAINING_WINDOWS = 60_000
 #: A word trains the toxic dictionary if it follows so many different words there,
 #: and its log odds against ordinary text are above this by two standard errors.
 CONTEXTS = 6
-ODDS = 2.0
+ODDS = 1.0
 #: Parts of the rows, each measured with dictionaries of the others for the calibration.
 FOLDS = 4
 LEVEL = 6
@@ -105,35 +105,40 @@ def _trained(size: int, samples: list[bytes], **how: int) -> bytes:
         return b" ".join(samples)[-size:] or b" "
 
 
+def _contexts(texts: list[str], chosen: dict | None = None) -> tuple[int, dict[str, int]]:
+    """Different pairs of neighbours, and after how many different words each chosen word comes."""
+    number: dict[str, int] = {}
+    every, pairs = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+    for text in texts:
+        words = words_of(text)
+        hashes = np.fromiter((xxhash.xxh32_intdigest(w) for w in ["", *words]), np.uint64, len(words) + 1)
+        every.append(np.unique(hashes[:-1] << np.uint64(32) | hashes[1:]))
+        own = (number.setdefault(w, len(number)) if chosen is None or w in chosen else -1 for w in words)
+        codes = np.fromiter(own, np.int64, len(words))
+        pairs.append(np.unique((codes.astype(np.uint64) << np.uint64(32) | hashes[:-1])[codes >= 0]))
+    found = np.unique(np.concatenate(pairs))
+    counts = np.bincount((found >> np.uint64(32)).astype(np.int64), minlength=len(number))
+    return len(np.unique(np.concatenate(every))), dict(zip(number, counts.tolist(), strict=True))
+
+
 def _dictionaries(rows: list[tuple[str, int]]) -> tuple[bytes, bytes]:
     """Train the ordinary dictionary on windows, the toxic one on what sets toxic text apart."""
-    after = defaultdict(set)
-    toxic, n_toxic = [words_of(t) for t, y in rows if y], 0
-    for words in toxic:
-        for before, word in zip(["", *words], words, strict=False):
-            after[word].add(before)
-    n_toxic = sum(map(len, after.values()))
-    often = {w: len(c) for w, c in after.items() if len(c) >= CONTEXTS}
-    ordinary, seen, sample = 0, defaultdict(set), []
-    draw = random.Random(7)
-    share = TRAINING_WINDOWS / max(1, len(rows) - len(toxic))
-    for text, y in rows:
-        if y:
-            continue
-        words = words_of(text)
-        ordinary += len(set(zip(words, words[1:], strict=False))) + bool(words)
-        for before, word in zip(["", *words], words, strict=False):
-            if word in often:
-                seen[word].add(before)
-        own = windows(words)
-        sample += own if len(own) <= share else draw.sample(own, max(1, int(share)))
+    toxic = [t for t, y in rows if y]
+    n_toxic, often = _contexts(toxic)
+    often = {w: n for w, n in often.items() if n >= CONTEXTS}
+    plain = [t for t, y in rows if not y]
+    n_plain, seen = _contexts(plain, often)
     marked = set()
     for word, n in often.items():
-        m = len(seen[word])
-        odds = np.log((n + 0.5) / (n_toxic + 1)) - np.log((m + 0.5) / (ordinary + 1))
+        m = seen.get(word, 0)
+        odds = np.log((n + 0.5) / (n_toxic + 1)) - np.log((m + 0.5) / (n_plain + 1))
         if odds - 2 * np.sqrt(1 / (n + 0.5) + 1 / (m + 0.5)) > ODDS:
             marked.add(word)
-    wording = [f" {w} ".encode() for words in toxic for w in words if w in marked]
+    draw, share, sample = random.Random(7), TRAINING_WINDOWS / max(1, len(plain)), []
+    for text in plain:
+        own = windows(words_of(text))
+        sample += own if len(own) <= share else draw.sample(own, max(1, int(share)))
+    wording = [f" {w} ".encode() for text in toxic for w in words_of(text) if w in marked]
     return _trained(ORDINARY_BYTES, sample), _trained(TOXIC_BYTES, wording, k=48, d=8, level=3)
 
 
