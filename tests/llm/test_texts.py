@@ -55,6 +55,11 @@ def test_weak_parts_count_beside_complementary_ones():
     assert secrets.find(apart)[1] == []
     far = f"user: bob {'filler ' * 100}{weak_key}"
     assert secrets.find(far)[1] == []
+    inside = " ".join([LONG_HEX] * 12)
+    long = f"token={'x' * 3000}"  # a far end counts, however many parts come after the start
+    assert secrets._Intervals([(0, 3000), *((i, i + 5) for i in range(10, 500, 10))]).touch(2990, 3010)
+    assert not secrets._Intervals([(0, 9), (20, 30)]).touch(9, 20) and not secrets._Intervals([]).touch(0, 5)
+    assert [k for k, *_ in secrets.find(f"{long} {inside} login=alice")[1]] == ["identifier"]
     beside = secrets.find(f"login=alice password=abcdefgh1")
     assert [k for k, *_ in beside[0]] == ["assign"] and [k for k, *_ in beside[1]] == ["identifier"]
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections.abc import Iterable
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -62,20 +64,18 @@ def linked(text: str, strong: list[Span], weak: list[Span], reach: int = REACH)
     if not weak:
         return []
     ends = [m.end() for m in _SCOPE.finditer(text)]
-    covered = sorted((s, e) for _, s, e in strong)
-    fresh = [w for w in weak if not _touches(covered, w[1], w[2])]
+    covered = _Intervals((s, e) for _, s, e in strong)
+    fresh = [w for w in weak if not covered.touch(w[1], w[2])]
     parts: dict[int, dict[str, list[tuple[int, int]]]] = {}
     for kind, s, e in [*strong, *fresh]:
         roles = parts.setdefault(_place(ends, s), {})
         roles.setdefault(ROLE[kind], []).append((s, e))
-    for roles in parts.values():
-        for role, spans in roles.items():
-            roles[role] = sorted(spans)
+    joined = {place: {r: _Intervals(spans) for r, spans in roles.items()} for place, roles in parts.items()}
     out = []
     for kind, s, e in fresh:
-        roles = parts[_place(ends, s)]
+        roles = joined[_place(ends, s)]
         wanted = ("who", "where") if ROLE[kind] == "what" else ("what",)
-        if any(_touches(roles.get(r, ()), s - reach, e + reach) for r in wanted):
+        if any(r in roles and roles[r].touch(s - reach, e + reach) for r in wanted):
             out.append((kind, s, e))
     return out
 
@@ -84,10 +84,18 @@ def _place(ends: list[int], at: int) -> int:
     return bisect_left(ends, at + 1)
 
 
-def _touches(spans, start: int, end: int) -> bool:
-    """Whether one of the sorted spans overlaps ``start`` to ``end``; spans of a list hardly overlap each other."""
-    at = bisect_left(spans, (end, 0))
-    return any(e > start for _, e in spans[max(0, at - 8) : at])
+class _Intervals:
+    """Intervals by their starts, each with the furthest end up to it."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]):
+        spans = sorted(spans)
+        self.starts = [s for s, _ in spans]
+        self.reached = list(accumulate((e for _, e in spans), max))
+
+    def touch(self, start: int, end: int) -> bool:
+        """Whether one of them overlaps ``start`` to ``end``."""
+        before = bisect_left(self.starts, end)
+        return before > 0 and self.reached[before - 1] > start
 
 
 def written(spans: list[Span]) -> str:
