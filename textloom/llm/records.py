@@ -19,9 +19,12 @@ from pyspark.sql.window import Window
 from textloom.llm.crc32c import masked_all
 from textloom.llm.ship import ship
 
-#: Texts that a task encodes together, and chunks that it remembers.
+#: Texts that a task encodes together, and chunks and words that it remembers.
 TEXTS = 256
-REMEMBERED = 300_000
+CHUNKS = 400_000
+WORDS = 800_000
+#: Words that the library gets as one text.
+LINE = 512
 #: Bytes after which a task begins another file.
 FILE_BYTES = 32 << 20
 #: Documents of a range, which one task writes.
@@ -48,6 +51,8 @@ class Tokenizer:
         self.remembered: dict[bytes, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.apart = self._parts_at_white_space()
+        size = self.library.get_vocab_size()
+        self.ends = np.array([(self.library.id_to_token(i) or "").endswith("</w>") for i in range(size)])
 
     def _parts_at_white_space(self) -> bool:
         """Whether a probe text gives the same ids whole and in chunks."""
@@ -62,26 +67,38 @@ class Tokenizer:
         """Ids of each text, as little-endian 32-bit integers."""
         if not self.apart:
             return self._ids(texts)
-        for memory in (self.remembered, self.words):
-            if len(memory) > REMEMBERED:
+        for memory, most in ((self.remembered, CHUNKS), (self.words, WORDS)):
+            if len(memory) > most:
                 memory.clear()
         parts = [t.encode("utf-8").split() for t in texts]
         new = list(set(chain.from_iterable(parts)).difference(self.remembered))
         odd, plain = [], []
         for chunk in new:
-            # Letters and what follows them are parted by the library too, and lower-cased.
+            # Letters and the marks after them are a word each to the library too, in lower case.
             found = _ORDINARY.fullmatch(text := chunk.decode("utf-8"))
             if found:
                 plain.append((chunk, found[1].lower(), found[2]))
             else:
                 odd.append((chunk, text))
         wanted = set(chain.from_iterable((w, m) for _, w, m in plain)).difference(self.words)
-        self._learn(self.words, list(wanted), list(wanted))
+        self._learn_words([w for w in wanted if w])
         for chunk, word, mark in plain:
-            self.remembered[chunk] = self.words[word] + self.words[mark]
+            self.remembered[chunk] = self.words[word] + self.words[mark] if mark else self.words[word]
         self._learn(self.remembered, [c for c, _ in odd], [t for _, t in odd])
         return [b"".join(map(self.remembered.__getitem__, p)) for p in parts]
 
+    def _learn_words(self, words: list[str]) -> None:
+        """Encode lines of words and part the ids after each end of a word; word by word where the ends don't tally."""
+        for at in range(0, len(words), LINE):
+            line = words[at : at + LINE]
+            coded = self._ids([" ".join(line)])[0]
+            ends = np.flatnonzero(self.ends[np.frombuffer(coded, "<u4")]) + 1
+            if len(ends) == len(line):
+                stops = [0, *(4 * ends).tolist()]
+                self.words.update(zip(line, map(coded.__getitem__, map(slice, stops[:-1], stops[1:])), strict=True))
+            else:
+                self._learn(self.words, line, line)
+
     def _learn(self, memory: dict, keys: list, texts: list[str]) -> None:
         for at in range(0, len(keys), 1 << 14):
             memory.update(zip(keys[at : at + (1 << 14)], self._ids(texts[at : at + (1 << 14)]), strict=True))
