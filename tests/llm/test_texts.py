@@ -4,6 +4,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,6 +119,29 @@ def test_licenses(spark):
     assert licenses.scan(docs.limit(0)).collect() == []
 
 
+def test_notices_anywhere_in_a_line_and_wrapped_anywhere():
+    scan = licenses.scanner(licenses.TEMPLATES).find
+    line = "word " * 40_000 + "Released under the MIT License. " + "word " * 300 + "All rights reserved."
+    assert [(f[0], line[f[1] : f[2]]) for f in scan(line)] == [("MIT", "Released under the MIT License"), ("Proprietary", "All rights reserved")]
+    for name, text in licenses.TEMPLATES:
+        words = text.split()
+        for at in range(len(words)):
+            wrapped = f"some prose {' '.join(words[:at])}\n{' '.join(words[at:])} more prose"
+            assert [(f[0], f[4]) for f in scan(wrapped)] == [(name, 0)], (name, at)
+        assert [(f[0], f[4]) for f in scan(f"prose\n{text.replace(' ', chr(10) + ' * ')}\nprose")] == [(name, 0)]
+
+
+def test_ends_of_runs_are_those_of_the_table():
+    rng = random.Random(5)
+    made = licenses.Scanner((("A", "a b c d e"), ("B", "a b c d e f g h i j")))
+    for _ in range(300):
+        words = [rng.choice("abcdefghijxy") if rng.random() < 0.3 else "abcdefghij"[k % 10] for k in range(rng.randint(1, 25))]
+        numbers = np.array([made.numbers.get(w, 0) for w in words])
+        for i, (_, template) in enumerate(made.templates):
+            row = licenses._last_row(template, words)
+            assert list(made._ends(i, numbers)) == [(c, at) for at, (c, _) in enumerate(row) if c <= made.allowed[i]]
+
+
 def test_differences_are_the_fewest():
     rng = random.Random(4)
 
