@@ -131,6 +131,31 @@ def test_notices_anywhere_in_a_line_and_wrapped_anywhere():
         assert [(f[0], f[4]) for f in scan(f"prose\n{text.replace(' ', chr(10) + ' * ')}\nprose")] == [(name, 0)]
 
 
+def test_prose_after_a_notice_and_other_names():
+    scan = licenses.scanner(licenses.TEMPLATES).find
+    rng = random.Random(6)
+    shared = [w for _, t in licenses.TEMPLATES for w in (" ".join(t.split()[i : i + 4]) for i in range(0, len(t.split()), 4))]
+    for text, name in (("All rights reserved.", "Proprietary"), ("Released under the BSD License.", "BSD")):
+        for _ in range(40):
+            prose = " - ".join(f"{rng.choice(shared)} {rng.random()}" for _ in range(25))
+            assert (name, 0) in [(f[0], f[4]) for f in scan(f"{text} {prose}")], prose
+    for other in (
+        "Released under the Artistic License.",
+        "Licensed under CC BY 3.0.",
+        "Licensed under CC BY SA 4.0.",
+        "This work is licensed under the GNU General Public License, version 1.",
+        licenses.TEMPLATES[10][1].replace("GNU General", "GNU Affero General"),
+    ):
+        assert scan(other) == [], other
+    for same, name in (
+        ("Released under the BSD (or Artistic, EPL, ...) License", "BSD"),
+        ("Released under an MIT License.", "MIT"),
+        ("This work is licensed under the GNU General Public License, version 3.0.", "GPL-3.0"),
+        ("This work was licensed under the GNU Lesser General Public License, version 3.", "LGPL-3.0"),
+    ):
+        assert [(f[0], f[4]) for f in scan(same)] == [(name, 1)], same
+
+
 def test_ends_of_runs_are_those_of_the_table():
     rng = random.Random(5)
     made = licenses.Scanner((("A", "a b c d e"), ("B", "a b c d e f g h i j")))
