@@ -216,6 +216,18 @@ def test_main_text():
     assert html.main_blocks(long) == [("word " * 20_000).strip()]
 
 
+def test_plain_divs_keep_a_lead_and_a_short_last_part():
+    long = "".join(f"<p>Part {i}, with commas, more, and {'words ' * 60}</p>" for i in range(8))
+    menu = "<div><a href=1>one</a> <a href=2>two</a> <a href=3>three</a></div><div class=cookie-notice><p>We use cookies</p></div>"
+    inner = f"<p>A lead.</p><div>{long}</div>Bare text.<p>Between.</p><div><p>Last, short.</p></div>"
+    for page in (f"<body>{menu}<div>{inner}</div></body>", f"<body>{menu}{inner}</body>", inner.replace("<div><p>Part 0", "<div><div><p>Part 0")):
+        found = html.main_blocks(page)
+        assert found[0] == "A lead." and found[-3:] == ["Bare text.", "Between.", "Last, short."] and len(found) == 12, found
+    sources = "".join(f"<li><a href={i}>A long title of a source that the article names, {i}</a>" for i in range(4))
+    found = html.main_blocks(f"<article>{long}<ul>{sources}</ul><ul><li><a href=1>one</a><li><a href=2>two</a><li><a href=3>x</a></ul></article>")
+    assert len(found) == 12 and found[-1].endswith("names, 3")
+
+
 def test_html_query(spark, tmp_path):
     rows = [(1, "u", PAGE, "x"), (2, None, None, "x"), (2, "u", "", "x"), (None, "u", "<p>a&nbsp;b</p>", "x")]
     spark.createDataFrame(rows, "page_id long, url string, html string, text string").write.parquet(f"{tmp_path}/pages.parquet")

@@ -32,6 +32,8 @@ NEVER = frozenset(
 )
 CONTAINERS = frozenset("article body blockquote dd div html main section td".split())
 WHOLE = frozenset("article main".split())
+#: Characters of an entry of a menu, on average, at most.
+MENU_ENTRY = 30
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar status note".split())
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>""",
@@ -181,8 +183,10 @@ def main_blocks(page: str | None) -> list[str]:
     length to the element that holds it, half to the one above, then a sixth,
     and so on. An element's points are discounted by the share of its text that
     lies in links. The best element is taken, or the best one marked as an article
-    if it has a fifth of its score; raised to the article around it, it is kept
-    with its siblings that score a fifth as much and with headings beside it.
+    if it has a fifth of its score; raised to the article around it, it is kept.
+    One not marked is kept with all that stands beside it or beside an element
+    around it, paragraphs, text and elements of any length, but what has more than half of its text in links;
+    elements with the names of menus, notices and the like are gone before.
     """
     tree = _Tree(page or "")
     n = len(tree.tag)
@@ -219,14 +223,19 @@ def main_blocks(page: str | None) -> list[str]:
         if tree.tag[at] in WHOLE:
             best = at
         at = tree.parent[at]
-    kept, up = [False] * n, tree.parent[best]
+    over, at = set(), best  # the elements around one that is not marked as an article
+    while at and tree.tag[best] not in WHOLE:
+        at = tree.parent[at]
+        over.add(at)
+    kept = [False] * n
     for i in range(n):
-        beside = i != best and tree.parent[i] == up and up != i and tree.tag[best] not in WHOLE
-        near = beside and (score[i] >= max(10, score[best] / 5) or tree.tag[i] in ("h1", "h2"))
-        # A list of nothing but links is a menu, also within an article.
+        beside = i > 0 and i != best and i not in over and tree.parent[i] in over
+        near = beside and (2 * linked[i] <= length[i] or tree.tag[i] in ("h1", "h2"))
+        # A list of nothing but short links is a menu, also within an article; long ones are its sources.
         menu = tree.tag[i] in ("ul", "ol", "div") and links_only[i] >= 3 and linked[i] > 0.8 * length[i]
+        menu = menu and length[i] < MENU_ENTRY * links_only[i]
         kept[i] = not menu and (i == best or near or (i > 0 and kept[tree.parent[i]]))
-    return [text for node, text, _ in tree.blocks if kept[node]]
+    return [t for node, t, links in tree.blocks if kept[node] or (node in over and 2 * links <= len(t))]
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
