@@ -3,6 +3,7 @@ from collections import Counter
 
 import pytest
 
+from textloom.operators import language
 from textloom.operators.language import LanguageModel
 
 TEXTS = [
@@ -68,6 +69,17 @@ def test_bounds_of_a_fit(docs):
     assert LanguageModel.fit(some, documents=8).weights.count() <= LanguageModel.fit(docs).weights.count()
 
 
+def test_a_rare_language_stays_in_a_large_corpus(spark):
+    pairs = [chr(0xAC00 + i) + chr(0xAC01 + i) for i in range(400)]
+    many = spark.range(6000).selectExpr("CAST(id AS STRING) AS path", "'kor' AS lang_code", f"CAST('{' '.join(pairs)}' AS BINARY) AS content")
+    few = spark.createDataFrame([("x", "ger", bytearray("und nicht".encode()))], "path string, lang_code string, content binary")
+    model = LanguageModel.fit(many.union(few), documents=50, most=20)
+    assert model.languages == ("ger", "kor")
+    assert {"un", "nd"} <= {r["gram"] for r in model.weights.collect()}
+    assert model.detect(few).first()["lang_code"] == "ger"
+    assert language._bound([5, 100, 100], 105) == 50 and language._bound([5, 6], 20) == 6
+
+
 def test_equal_paths_of_two_remotes(spark):
     texts = [("a", "p", "eng", "the way that the"), ("b", "p", "ger", "und nicht die und")]
     rows = [(r, p, c, bytearray(t.encode())) for r, p, c, t in texts]

@@ -6,7 +6,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.text import BIBLIOGRAPHIC_CODES, LANG_CODES, decode
@@ -14,9 +14,10 @@ from textloom.operators.keys import document_key
 from textloom.session import durable
 
 # A fit reads about so many labelled documents; a model has so many bigrams,
-# the most frequent. A row of it is a bigram and one double per language, so
+# the most frequent of each language. A row of it is a bigram and one double per language, so
 # with all languages it is some tens of megabytes and can be sent around.
 FIT_DOCUMENTS = 200_000
+LEAST_DOCUMENTS = 1_000
 BIGRAMS = 50_000
 LANGUAGES = tuple(sorted({BIBLIOGRAPHIC_CODES.get(c, c) for c in LANG_CODES.values()}))
 
@@ -32,6 +33,19 @@ def _bigram_rows(docs: DataFrame, *keys: str) -> DataFrame:
     return docs.select(*keys, F.explode_outer(bigrams(decode(F.col("content")))).alias("gram"))
 
 
+def _bound(sizes: list[int], most: int) -> int:
+    """The size to which the large ones are cut for all to have ``most`` together."""
+    left, bound = most, max(sizes, default=0)
+    if sum(sizes) <= most:
+        return bound
+    for i, size in enumerate(sorted(sizes)):
+        bound = left // (len(sizes) - i)
+        if size > bound:
+            break
+        left -= size
+    return bound
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     """Log probabilities: column ``w0``, ``w1``, ... for each of ``languages``."""
@@ -51,18 +65,23 @@ class LanguageModel:
         """Fit on documents with ``content`` and a label, with add-one smoothing.
 
         Documents with another label, and languages without a bigram, are left
-        out. Of more labelled documents than ``documents``, those with the
-        smallest hashes of their text are read, about that many. Counts are
+        out. Of more labelled documents than ``documents``, about that many are
+        read by hash: all of a language with few, equally many of the others,
+        never less than ``LEAST_DOCUMENTS``. Each language keeps its most
+        frequent bigrams, ``most`` for all languages together. Counts are
         combined before the shuffle, so it carries the vocabulary and not the
         text. They are checkpointed, since the totals and every later detection
         read them again.
         """
         codes = tuple(languages)
         labelled = docs.where(F.col(label).isin(*codes))
-        found = labelled.count()
-        if found > documents:
-            share = int(documents / found * (1 << 32))
-            labelled = labelled.where(F.pmod(F.xxhash64("content"), F.lit(1 << 32)) < share)
+        found = {r[label]: r["count"] for r in labelled.groupBy(label).count().collect()}  # some of the given codes
+        bound = max(_bound(list(found.values()), documents), LEAST_DOCUMENTS)
+        if any(n > bound for n in found.values()):
+            # Copies of a text differ in their path, so they are not taken or left together.
+            row = F.pmod(F.xxhash64(*[c for c in ("remote", "path") if c in docs.columns], "content"), F.lit(1 << 32))
+            shares = F.create_map(*[F.lit(x) for c, n in found.items() for x in (c, min((bound << 32) // n, 1 << 32))])
+            labelled = labelled.where(row < shares[F.col(label)])
         pairs = _bigram_rows(labelled, label).where(F.col("gram").isNotNull())
         per_language = durable(pairs.groupBy("gram", label).agg(F.count("*").alias("n")))
         seen = {r[label] for r in per_language.select(label).distinct().collect()}  # some of the given codes
@@ -70,8 +89,11 @@ class LanguageModel:
         if not codes:
             raise ValueError("no labelled document with two neighbouring letters")
         of = [F.sum(F.when(F.col(label) == c, F.col("n")).otherwise(0)).alias(f"n{i}") for i, c in enumerate(codes)]
-        counted = per_language.groupBy("gram").agg(*of, F.sum("n").alias("n"))
-        counts = durable(counted.orderBy(F.desc("n"), "gram").limit(most).drop("n"))
+        # The most frequent of each language, then the second of each, and so on.
+        by_count = Window.partitionBy(label).orderBy(F.desc("n"), "gram")
+        ranked = per_language.withColumn("rank", F.row_number().over(by_count))
+        counted = ranked.groupBy("gram").agg(*of, F.sum("n").alias("n"), F.min("rank").alias("rank"))
+        counts = durable(counted.orderBy("rank", F.desc("n"), "gram").limit(most).drop("n", "rank"))
         totals = counts.agg(F.count("*").alias("size"), *[F.sum(f"n{i}").alias(f"n{i}") for i in range(len(codes))]).first()
         whole = [float(totals[f"n{i}"] + totals["size"]) for i in range(len(codes))]
         logs = [F.log((F.col(f"n{i}") + 1) / F.lit(w)).alias(f"w{i}") for i, w in enumerate(whole)]
