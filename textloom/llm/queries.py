@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import html, licenses, mixing, pieces, records, secrets, simhash, topk, toxicity, vectors
+from textloom.llm import (
+    alignment,
+    html,
+    licenses,
+    mixing,
+    pieces,
+    records,
+    secrets,
+    simhash,
+    spellings,
+    syncmers,
+    topk,
+    toxicity,
+    vectors,
+)
 from textloom.llm.ship import shared_folder
 
 
@@ -100,6 +114,19 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+def op11_syncmers(spark: SparkSession, sf: str) -> DataFrame:
+    return syncmers.compare_with_next(_table(spark, sf, "documents"))
+
+
+def op12_spellings(spark: SparkSession, sf: str) -> DataFrame:
+    return spellings.variants(spellings.words(_table(spark, sf, "documents")))
+
+
+def op13_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    files = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    return alignment.align(_table(spark, sf, "documents"), *files)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_licenses": op2_licenses,
@@ -111,6 +138,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_topk": op9_topk,
     "op10_toxicity": op10_toxicity,
+    "op11_syncmers": op11_syncmers,
+    "op12_spellings": op12_spellings,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE: dict[str, str] = {
