@@ -7,13 +7,23 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from textloom.llm import secrets, simhash, toxicity
+from textloom.llm import secrets, toxicity
 from textloom.llm.components import local_roots
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 pytest.importorskip("public_tokenizers")
 
 
+def sets(text):
+    words = (text or "").lower().split()
+    k = min(5, len(words))
+    return {tuple(words[i : i + k]) for i in range(len(words) - k + 1)} if words else set()
+
+
+def alike(a, b):
+    return a == b or len(a & b) >= 0.8 * len(a | b)
+
+
 def corpus():
     rng = random.Random(3)
     syllables = "an re th ti on er es or ha wh nd st ing ed en ou".split()
@@ -29,7 +39,10 @@ def corpus():
         rows.append((i, " ".join(words), "en", f"src{i % 4}"))
         labels.append((i, int(bad)))
     for i in range(300, 330):
-        rows.append((i, rows[i - 299][1], "en", "src9"))
+        text = rows[i - 299][1].split()
+        if i % 2:
+            text[40] = "edited"  # a near copy: 72 to 71 of 81 shingles stay
+        rows.append((i, " ".join(text), "en", "src9"))
     rows += [(400, None, None, None), (401, "", "en", "src1"), (7, rows[7][1], "en", rows[7][3]), (None, "no id here at all", "en", "src1")]
     return [(i, t, lang, s, len(t or "")) for i, t, lang, s in rows], labels
 
@@ -53,9 +66,9 @@ def test_stages(spark, tmp_path):
     assert sorted(str(r.doc_id) for r in clean) == sorted(str(r[0]) for r, s in zip(rows, scores, strict=True) if s < 0.5)
     assert {r.doc_id for r in clean} >= {i for i, *_ in rows if i is not None and i % 5 and i < 300}
 
-    fp = np.array([simhash.fingerprint(r.text) for r in clean]).view(np.uint64)
-    a, b = np.nonzero(np.bitwise_count(fp[:, None] ^ fp[None]) <= 4)
-    root = local_roots(len(fp), a, b)
+    own = [sets(r.text) for r in clean]
+    pairs = [(i, j) for i in range(len(own)) for j in range(i) if alike(own[i], own[j])]
+    root = local_roots(len(own), *np.array(pairs).T)
     first = {}
     for r, k in zip(clean, root, strict=True):
         named = (r.doc_id is None, r.doc_id or 0)
