@@ -7,7 +7,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
 
@@ -40,3 +40,14 @@ def shared_folder(spark: SparkSession, name: str) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
         base = tempfile.mkdtemp(prefix="textloom-shared-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def tabled(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to a new shared folder and read it back.
+
+    As a checkpoint does, that cuts the lineage and survives lost executors;
+    besides, Spark knows the size of the table and chooses joins by it.
+    """
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
