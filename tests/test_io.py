@@ -78,7 +78,7 @@ def test_corpus_files_and_snapshot(spark, tmp_path):
     path = str(tmp_path / "snapshot")
     listed = docs.join(index.select("path", "doctype"), "path")
     writers.write_snapshot(listed, index, path)
-    assert (tmp_path / "snapshot" / "data" / "doctype=toc").is_dir()
+    assert list((tmp_path / "snapshot").glob("version-*/data/doctype=toc"))
     back, back_index = writers.read_snapshot(spark, path)
     assert rows(back.select("path")) == [("data/book/1.txt",), ("data/toc/2.txt",)]
     assert back_index.columns == index.columns
@@ -123,14 +123,35 @@ def test_failing_write_leaves_the_old_output(spark, frame, tmp_path):
     assert [p.name for p in tmp_path.iterdir()] == ["index.parquet"]
 
 
-@pytest.mark.parametrize("name", ["toc/_2.txt", "toc/.3.txt", "_raw/4.txt", "toc/.x/y/5.txt"])
-def test_hidden_documents_are_refused_by_name(spark, tmp_path, name):
-    for one in ("toc/1.txt", name):
-        file = tmp_path / "data" / one
+def test_hidden_documents_are_read(spark, tmp_path):
+    base = tmp_path / "a[1]{b}*"
+    names = ["toc/1.txt", "toc/_2.txt", "toc/.3.txt", "_raw/4.txt", "toc/.x/y/5.txt", "toc/.x/_z/6.txt", "7.txt", "book/a/b/_8.txt"]
+    for name in [*names, "toc/_9.csv", "toc/10.csv"]:
+        file = base / "data" / name
         file.parent.mkdir(parents=True, exist_ok=True)
-        file.write_text("text")
-    with pytest.raises(ValueError, match=name.rsplit("/", 1)[-1]):
-        readers.read_corpus(spark, str(tmp_path))
+        file.write_text(f"text of {name}")
+    found = readers.read_corpus(spark, str(base))
+    got = {r["path"]: (bytes(r["content"]).decode(), r["size"], r["mtime"]) for r in found.collect()}
+    assert got.keys() == {f"data/{n}" for n in names} and found.count() == len(names)
+    for name in names:
+        stat = (base / "data" / name).stat()
+        assert got[f"data/{name}"] == (f"text of {name}", stat.st_size, int(stat.st_mtime))
+    assert found.columns == ["path", "mtime", "size", "content"]
+
+
+def test_many_files_are_not_walked_by_the_driver(spark, tmp_path, monkeypatch):
+    for folder in range(5):
+        (tmp_path / f"data/{folder}").mkdir(parents=True)
+        for i in range(200):
+            (tmp_path / f"data/{folder}/{i}.txt").write_text("x")
+    calls = []
+    command = spark.sparkContext._gateway._gateway_client.send_command if hasattr(spark.sparkContext._gateway, "_gateway_client") else None
+    client = spark.sparkContext._gateway._gateway_client
+    monkeypatch.setattr(client, "send_command", lambda *a, **k: (calls.append(1), command(*a, **k))[1])
+    found = readers.read_corpus(spark, str(tmp_path))
+    assert len(calls) < 600  # far fewer than files
+    monkeypatch.undo()
+    assert found.count() == 1000
 
 
 def test_paths_without_a_scheme(spark, tmp_path):
@@ -138,3 +159,68 @@ def test_paths_without_a_scheme(spark, tmp_path):
     (tmp_path / "data/toc/1.txt").write_text("text")
     for base in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}/"):
         assert [r["path"] for r in readers.read_corpus(spark, base).collect()] == ["data/toc/1.txt"]
+
+
+def test_a_snapshot_is_of_one_version(spark, docs_of, tmp_path, monkeypatch):
+    path = str(tmp_path / "snapshot")
+
+    def parts(*names):
+        docs = docs_of({f"data/toc/{n}.txt": f"text {n}" for n in names})
+        index = build_index(docs, "shed")
+        return docs.join(index.select("path", "doctype"), "path"), index
+
+    def read():
+        return [rows(df.select("path")) for df in writers.read_snapshot(spark, path)]
+
+    writers.write_snapshot(*parts("1", "2"), path)
+    first = [[("data/toc/1.txt",), ("data/toc/2.txt",)]] * 2
+    assert read() == first
+    with monkeypatch.context() as crash:  # between documents and index
+        crash.setattr(writers, "write_table", lambda *a, **k: (_ for _ in ()).throw(OSError("killed")))
+        with pytest.raises(OSError, match="killed"):
+            writers.write_snapshot(*parts("3"), path)
+    assert read() == first
+    with monkeypatch.context() as crash:  # before the manifest
+        crash.setattr(writers, "_replace", lambda *a, **k: (_ for _ in ()).throw(OSError("killed")) if a[1].endswith("manifest") else replace(*a, **k))
+        with pytest.raises(OSError, match="killed"):
+            writers.write_snapshot(*parts("3"), path)
+    assert read() == first
+    (tmp_path / "snapshot/manifest").rename(tmp_path / "snapshot/_manifest.x.old")  # between its two renames
+    assert read() == first
+    (tmp_path / "snapshot/_manifest.x.old").rename(tmp_path / "snapshot/manifest")
+    for names in (("4",), ("5", "6")):
+        writers.write_snapshot(*parts(*names), path)
+    assert read() == [[("data/toc/5.txt",), ("data/toc/6.txt",)]] * 2
+    assert len(list((tmp_path / "snapshot").glob("version-*"))) == 2
+
+
+replace = writers._replace
+
+
+@pytest.mark.parametrize("name", ["out.parquet", "out.csv"])
+def test_an_append_that_is_run_again_adds_nothing(spark, frame, tmp_path, monkeypatch, name):
+    path = str(tmp_path / name)
+    writers.write_table(frame, path)
+    more = spark.createDataFrame([("c", 3)], frame.schema)
+    for batch in ("day-1", "day-1", "day-2"):
+        writers.write_table(more, path, append=True, batch=batch)
+    want = sorted([("a", 1), ("b", 2), ("c", 3), ("c", 3)], key=str)
+    assert sorted(((r["ppn"], int(r["size"])) for r in readers.read_filter_list(spark, path).collect()), key=str) == want
+    bad = more.selectExpr("ppn", "CAST(raise_error('broken') AS BIGINT) AS size")
+    with pytest.raises(Exception, match="broken"):
+        writers.write_table(bad, path, append=True, batch="day-3")
+    writers.write_table(more, path, append=True, batch="day-3")
+    assert readers.read_filter_list(spark, path).count() == 5
+    with pytest.raises(ValueError, match="name of a batch"):
+        writers.write_table(more, path, append=True, batch="../x")
+
+
+def test_unreadable_records_are_counted_by_file(spark, tmp_path):
+    (tmp_path / "r").mkdir()
+    (tmp_path / "r/1.json").write_text('{"record_id":"1","fields":[]}\nbroken\n{"record_id":"2","fields":[]}\n')
+    (tmp_path / "r/2.json").write_text('{"record_id":\n{"record_id":"3","fields":7}\n')
+    found = readers.read_all_records(spark, str(tmp_path / "r")).cache()
+    counts = {r["file"].rsplit("/", 1)[-1]: (r["good"], r["bad"]) for r in readers.records_by_file(found).collect()}
+    assert counts == {"1.json": (2, 1), "2.json": (0, 2)}
+    assert sorted(r["unreadable"] for r in found.where("unreadable IS NOT NULL").collect()) == ["broken", '{"record_id":', '{"record_id":"3","fields":7}']
+    assert rows(readers.readable(found).select("record_id")) == [("1",), ("2",)]

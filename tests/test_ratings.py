@@ -3,7 +3,15 @@ import json
 import pytest
 
 from textloom.operators.ratings import EVENT_SCHEMA, LOG_COLUMNS, admit, latest_ratings, worklist
-from textloom.streaming.ratings import ingest_ratings, rating_events, read_log, read_rejected
+from textloom.streaming.ratings import (
+    ingest_ratings,
+    log_stream,
+    rating_events,
+    read_log,
+    read_progress,
+    read_rejected,
+    track_ratings,
+)
 
 EVENTS = [
     ("p1", "h", "C", "", "ann", "s1", "accepted", None),
@@ -119,3 +127,29 @@ def test_busy_users_and_missing_names(spark, shuffled):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert counts == {("", 900), ("unknown user", 80), ("wrong secret", 20)}
+
+
+def test_progress_is_state_that_outlives_restarts(spark, users, paths, tmp_path):
+    inbox, log, checkpoint, progress, state = (str(tmp_path / n) for n in ("in", "log", "check", "progress", "state"))
+    (tmp_path / "in").mkdir()
+
+    def rate(name, *ratings):
+        lines = [{"path": p, "hash": "h", "rating": r, "comment": c, "username": "ann", "secret": "s1"} for p, r, c in ratings]
+        (tmp_path / "in" / name).write_text("".join(json.dumps(x) + "\n" for x in lines))
+        ingest_ratings(rating_events(spark, inbox), users, paths, "shed", log, checkpoint).awaitTermination(120)
+
+    def track():
+        query = track_ratings(log_stream(spark, log), progress, state)
+        query.awaitTermination(120)
+        assert query.exception() is None
+        return sum((b.get("numInputRows") or 0) for b in query.recentProgress)
+
+    read = []
+    for name, *ratings in (("1", ("p1", "C", "a"), ("p2", "P", "b")), ("2", ("p1", "P+", "c"),), ("3", ("p1", "I", "d"), ("p9", "C", "e"))):
+        rate(name, *ratings)
+        read.append(track())
+        want = sorted(map(str, latest_ratings(read_log(spark, log)).collect()))
+        assert sorted(map(str, read_progress(spark, progress).collect())) == want and want
+    track()
+    assert sorted(map(str, read_progress(spark, progress).collect())) == want
+    assert read == [2, 1, 1]  # each rating once; p9 is unknown

@@ -13,12 +13,12 @@ from textloom.functions.text import BIBLIOGRAPHIC_CODES, LANG_CODES, decode
 from textloom.operators.keys import document_key
 from textloom.session import durable
 
-# A fit reads about so many labelled documents; a model has so many bigrams,
-# the most frequent of each language. A row of it is a bigram and one double per language, so
-# with all languages it is some tens of megabytes and can be sent around.
+# A fit reads about so many labelled documents. A model may have any number of
+# bigrams; the most frequent of each language, so many in all, go to every task,
+# the others are joined.
 FIT_DOCUMENTS = 200_000
 LEAST_DOCUMENTS = 1_000
-BIGRAMS = 50_000
+COMMON = 50_000
 LANGUAGES = tuple(sorted({BIBLIOGRAPHIC_CODES.get(c, c) for c in LANG_CODES.values()}))
 
 
@@ -48,11 +48,18 @@ def _bound(sizes: list[int], most: int) -> int:
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """Log probabilities: column ``w0``, ``w1``, ... for each of ``languages``."""
+    """Weights of bigrams: ``gram, language, weight, common``, and the score of an unseen bigram by language.
+
+    ``language`` is a position in ``languages``. A weight is what a bigram adds
+    to the score of an unseen one; pairs of bigram and language that have none
+    are left out. ``common`` marks at most ``COMMON`` bigrams, ``rare`` says
+    whether there are others.
+    """
 
     weights: DataFrame
     languages: tuple[str, ...]
     unseen: tuple[float, ...]
+    rare: bool
 
     @staticmethod
     def fit(
@@ -60,18 +67,18 @@ class LanguageModel:
         label: str = "lang_code",
         languages: Sequence[str] = LANGUAGES,
         documents: int = FIT_DOCUMENTS,
-        most: int = BIGRAMS,
+        common: int = COMMON,
     ) -> LanguageModel:
         """Fit on documents with ``content`` and a label, with add-one smoothing.
 
         Documents with another label, and languages without a bigram, are left
         out. Of more labelled documents than ``documents``, about that many are
         read by hash: all of a language with few, equally many of the others,
-        never less than ``LEAST_DOCUMENTS``. Each language keeps its most
-        frequent bigrams, ``most`` for all languages together. Counts are
-        combined before the shuffle, so it carries the vocabulary and not the
-        text. They are checkpointed, since the totals and every later detection
-        read them again.
+        never less than ``LEAST_DOCUMENTS``. All their bigrams count; ``common``
+        bounds those that a detection sends to every task. Counts are combined
+        before the shuffle, so it carries the vocabulary and not the text. They
+        are checkpointed, since the totals and every later detection read them
+        again.
         """
         codes = tuple(languages)
         labelled = docs.where(F.col(label).isin(*codes))
@@ -83,57 +90,88 @@ class LanguageModel:
             shares = F.create_map(*[F.lit(x) for c, n in found.items() for x in (c, min((bound << 32) // n, 1 << 32))])
             labelled = labelled.where(row < shares[F.col(label)])
         pairs = _bigram_rows(labelled, label).where(F.col("gram").isNotNull())
-        per_language = durable(pairs.groupBy("gram", label).agg(F.count("*").alias("n")))
-        seen = {r[label] for r in per_language.select(label).distinct().collect()}  # some of the given codes
-        codes = tuple(c for c in codes if c in seen)
+        counts = durable(pairs.groupBy("gram", label).agg(F.count("*").alias("n")))
+        totals = {r[label]: r["n"] for r in counts.groupBy(label).agg(F.sum("n").alias("n")).collect()}
+        codes = tuple(c for c in codes if c in totals)
         if not codes:
             raise ValueError("no labelled document with two neighbouring letters")
-        of = [F.sum(F.when(F.col(label) == c, F.col("n")).otherwise(0)).alias(f"n{i}") for i, c in enumerate(codes)]
-        # The most frequent of each language, then the second of each, and so on.
+        # The most frequent of each language, then the second of each, and so on. The limit on
+        # the rank lets every task drop most rows before the shuffle.
         by_count = Window.partitionBy(label).orderBy(F.desc("n"), "gram")
-        ranked = per_language.withColumn("rank", F.row_number().over(by_count))
-        counted = ranked.groupBy("gram").agg(*of, F.sum("n").alias("n"), F.min("rank").alias("rank"))
-        counts = durable(counted.orderBy("rank", F.desc("n"), "gram").limit(most).drop("n", "rank"))
-        totals = counts.agg(F.count("*").alias("size"), *[F.sum(f"n{i}").alias(f"n{i}") for i in range(len(codes))]).first()
-        whole = [float(totals[f"n{i}"] + totals["size"]) for i in range(len(codes))]
-        logs = [F.log((F.col(f"n{i}") + 1) / F.lit(w)).alias(f"w{i}") for i, w in enumerate(whole)]
-        return LanguageModel(counts.select("gram", *logs), codes, tuple(-math.log(w) for w in whole))
+        ranked = counts.withColumn("rank", F.row_number().over(by_count)).where(F.col("rank") <= common)
+        head = ranked.groupBy("gram").agg(F.sum("n").alias("n"), F.min("rank").alias("rank"))
+        head = head.orderBy("rank", F.desc("n"), "gram").limit(common).select("gram", F.lit(True).alias("common"))
+        size = counts.select("gram").distinct().count()
+        position = F.create_map(*[F.lit(x) for i, c in enumerate(codes) for x in (c, i)])[F.col(label)]
+        marked = counts.join(F.broadcast(head), "gram", "left")
+        weights = durable(
+            marked.select(
+                "gram",
+                position.alias("language"),
+                F.log(F.col("n") + 1).alias("weight"),
+                F.coalesce("common", F.lit(False)).alias("common"),
+            )
+        )
+        return LanguageModel(weights, codes, tuple(-math.log(totals[c] + size) for c in codes), size > common)
 
     def save(self, path: str) -> None:
-        """Store the model: a row for each bigram, and one without for the unseen ones."""
-        other = ", ".join(f"CAST({u!r} AS DOUBLE) AS w{i}" for i, u in enumerate(self.unseen))
-        rest = self.weights.sparkSession.sql(f"SELECT CAST(NULL AS STRING) AS gram, {other}")
-        named = self.weights.union(rest).withColumnsRenamed({f"w{i}": c for i, c in enumerate(self.languages)})
-        named.coalesce(1).write.parquet(path)
+        """Store the model: its weights, and a row without a bigram for each language, with its unseen score."""
+        rest = [(None, i, u, False, c) for i, (u, c) in enumerate(zip(self.unseen, self.languages, strict=True))]
+        schema = "gram string, language int, weight double, common boolean, code string"
+        rows = self.weights.withColumn("code", F.lit(None).cast("string"))
+        rows.union(self.weights.sparkSession.createDataFrame(rest, schema)).write.parquet(path)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> LanguageModel:
         stored = spark.read.parquet(path)
-        codes = tuple(c for c in stored.columns if c != "gram")
-        rest = stored.where("gram IS NULL").first()
-        weights = stored.where("gram IS NOT NULL").select("gram", *[F.col(c).alias(f"w{i}") for i, c in enumerate(codes)])
-        return LanguageModel(weights, codes, tuple(rest[c] for c in codes))
+        rest = stored.where("gram IS NULL").orderBy("language").collect()  # one row a language
+        weights = stored.where("gram IS NOT NULL").drop("code")
+        rare = not weights.where("NOT common").isEmpty()
+        return LanguageModel(weights, tuple(r["code"] for r in rest), tuple(r["weight"] for r in rest), rare)
 
     def detect(self, docs: DataFrame) -> DataFrame:
         """Most probable language of each document and its probability.
 
         Returns the document's key (remote and path, or the path alone),
         ``lang_code`` and ``lang_score``; both are null for a document without
-        two neighbouring letters. All rows of a document are in one task, so
-        the partial sums leave one row per document for the shuffle.
+        two neighbouring letters.
+
+        All rows of a document are in one task, which has the weights of the
+        common bigrams, so the partial sums leave one row per document for the
+        shuffle. Bigrams of a document that are not common are counted and meet
+        the other weights in a join of any size. A bigram of a third of all
+        documents is common, or of no language at all; adaptive execution
+        splits the latter.
         """
         key = document_key(docs)
         grams = _bigram_rows(docs, *key)
-        scores = [F.coalesce(F.col(f"w{i}"), F.lit(u)) for i, u in enumerate(self.unseen)]
-        # The model's size is bounded where it is fitted.
-        joined = grams.join(F.broadcast(self.weights), "gram", "left")
-        summed = joined.groupBy(*key).agg(
-            F.count("gram").alias("grams"), *[F.sum(s).alias(f"s{i}") for i, s in enumerate(scores)]
-        )
-        named = [F.struct(F.col(f"s{i}").alias("score"), F.lit(c).alias("code")) for i, c in enumerate(self.languages)]
+        each = range(len(self.languages))
+        of = [F.sum(F.when(F.col("language") == i, F.col("weight"))).alias(f"w{i}") for i in each]
+        # At most COMMON rows.
+        common = F.broadcast(self.weights.where("common").groupBy("gram").agg(*of))
+        joined = grams.join(common.withColumn("met", F.lit(True)), "gram", "left")
+        sums = [F.sum(F.coalesce(f"w{i}", F.lit(0.0))).alias(f"s{i}") for i in each]
+        summed = joined.groupBy(*key).agg(F.count("gram").alias("grams"), *sums)
+        if self.rare:
+            summed = self._with_rare(joined.where("met IS NULL AND gram IS NOT NULL"), summed, key)
+        scores = [F.col(f"s{i}") + F.col("grams") * F.lit(u) for i, u in enumerate(self.unseen)]
+        named = [F.struct(s.alias("score"), F.lit(c).alias("code")) for s, c in zip(scores, self.languages, strict=True)]
         picked = summed.withColumn("best", F.array_max(F.array(*named)))
-        mass = sum((F.exp(F.col(f"s{i}") - F.col("best.score")) for i in range(len(self.languages))), F.lit(0.0))
+        mass = sum((F.exp(s - F.col("best.score")) for s in scores), F.lit(0.0))
         known = F.col("grams") > 0
         return picked.select(
             *key, F.when(known, F.col("best.code")).alias("lang_code"), F.when(known, 1 / mass).alias("lang_score")
         )
+
+    def _with_rare(self, left: DataFrame, summed: DataFrame, key: list[str]) -> DataFrame:
+        """The sums with the weights of the bigrams that are ``left``; null keys meet as well."""
+        each = range(len(self.languages))
+        counted = left.groupBy(*key, "gram").agg(F.count("*").alias("times"))
+        met = counted.join(self.weights.where("NOT common").hint("merge"), "gram")
+        more = met.groupBy(*key).agg(
+            *[F.sum(F.when(F.col("language") == i, F.col("times") * F.col("weight"))).alias(f"t{i}") for i in each]
+        )
+        more = more.withColumnsRenamed({c: f"their_{c}" for c in key})
+        same = [F.col(c).eqNullSafe(F.col(f"their_{c}")) for c in key]
+        both = summed.join(more, same, "left")
+        return both.select(*key, "grams", *[(F.col(f"s{i}") + F.coalesce(f"t{i}", F.lit(0.0))).alias(f"s{i}") for i in each])

@@ -291,7 +291,9 @@ SELECT path, size, chars, words, avg_word_len FROM corpus JOIN stats USING (path
     "lang_code": f"WITH {_CORPUS} SELECT doc_id, lang_code FROM corpus",
     "lfreq_distance": f"""WITH {_CORPUS}, {_distances("corpus")}
 SELECT path, round(dist_ger, 6) AS dist_ger, round(dist_eng, 6) AS dist_eng FROM distances""",
-    "lang_detect": f"WITH {_CORPUS}, {_TURNS}, {_lang('turns')} SELECT * FROM detected",
+    "lang_detect": f"WITH {_CORPUS}, {_lang('corpus')} SELECT * FROM detected",
+    "lang_detect_rare": f"WITH {_CORPUS}, {_lang('corpus')} SELECT * FROM detected",
+    "lang_detect_turns": f"WITH {_CORPUS}, {_TURNS}, {_lang('turns')} SELECT * FROM detected",
     "index_shared_paths": f"""WITH {_CORPUS}, {_SHARED},
 named AS (SELECT remote || '|' || path AS path, text FROM shared), {_lang('named')}
 SELECT s.remote, s.path, substr(s.digest, 1, 8) AS hash, lang_code, lang_score, s.size

@@ -107,6 +107,21 @@ def lfreq_distance(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def lang_detect(spark: SparkSession, sf: str) -> DataFrame:
+    docs = c.corpus(spark, sf)
+    found = LanguageModel.fit(docs).detect(docs)
+    return rounded(found, "lang_score").select("path", "lang_code", "lang_score")
+
+
+@query
+def lang_detect_rare(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with a model of which most bigrams are joined."""
+    docs = c.corpus(spark, sf)
+    found = LanguageModel.fit(docs, common=100).detect(docs)
+    return rounded(found, "lang_score").select("path", "lang_code", "lang_score")
+
+
+@query
+def lang_detect_turns(spark: SparkSession, sf: str) -> DataFrame:
     """Fitted on the documents, detected on the turns, which are shorter."""
     model = LanguageModel.fit(c.corpus(spark, sf))
     return rounded(model.detect(c.turns(spark, sf)), "lang_score")
@@ -311,9 +326,8 @@ def ngram_category(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def ngram_stopwords(spark: SparkSession, sf: str) -> DataFrame:
-    """Stop words that the caller has at hand: the words of the benchmark."""
-    listed = [r["value"] for r in c.stopwords(spark, sf).orderBy("value").collect()]
-    return vocabulary(c.corpus(spark, sf), 2, stopwords=listed)
+    """Stop words of a table: the words of the benchmark."""
+    return vocabulary(c.corpus(spark, sf), 2, stopwords=c.stopwords(spark, sf))
 
 
 @query

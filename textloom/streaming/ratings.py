@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from textloom.operators.ratings import EVENT_SCHEMA, LOG_COLUMNS, admit
+from textloom.operators.ratings import EVENT_SCHEMA, LOG_COLUMNS, admit, latest_ratings
 
 
 def rating_events(spark: SparkSession, folder: str, max_files: int = 1000) -> DataFrame:
@@ -62,3 +62,32 @@ def read_log(spark: SparkSession, log: str) -> DataFrame:
 def read_rejected(spark: SparkSession, log: str) -> DataFrame:
     """Rejected events with their reason."""
     return spark.read.parquet(log).where(F.col("status") != "accepted")
+
+
+def log_stream(spark: SparkSession, log: str) -> DataFrame:
+    """Accepted ratings as a stream of the log that ``ingest_ratings`` writes; every row comes once."""
+    rows = spark.readStream.schema(spark.read.parquet(log).schema).parquet(log)
+    return rows.where(F.col("status") == "accepted").select(*LOG_COLUMNS)
+
+
+def track_ratings(ratings: DataFrame, progress: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+    """Keep the latest rating of every document of a stream as state, and write what changes.
+
+    The state has one row per remote and path, so a restart goes on from it and
+    reads new ratings only. The changes of a batch are one folder, which a
+    batch that is run again replaces.
+    """
+
+    def put(changed: DataFrame, batch: int) -> None:
+        changed.write.mode("overwrite").option("compression", "zstd").parquet(f"{progress}/changes-{batch:012d}")
+
+    writer = latest_ratings(ratings).writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    writer = writer.foreachBatch(put)
+    if once:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def read_progress(spark: SparkSession, progress: str) -> DataFrame:
+    """The latest rating of every document, from the changes written so far; ``worklist`` takes it as its log."""
+    return latest_ratings(spark.read.option("recursiveFileLookup", "true").parquet(progress))
