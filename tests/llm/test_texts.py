@@ -55,11 +55,11 @@ def test_weak_parts_count_beside_complementary_ones():
     apart = f"user: bob\n\n{weak_key}"
     assert secrets.find(apart)[1] == []
     far = f"user: bob {'filler ' * 100}{weak_key}"
-    assert secrets.find(far)[1] == []
+    assert [k for k, *_ in secrets.find(far)[1]] == ["identifier", "key"]
+    lines = "\n".join(["login=alice", *(f"line {i} of a log" for i in range(60)), "password=abcdefgh1"])
+    assert [k for k, *_ in secrets.find(lines)[1]] == ["identifier"]
     inside = " ".join([LONG_HEX] * 12)
     long = f"token={'x' * 3000}"  # a far end counts, however many parts come after the start
-    assert secrets._Intervals([(0, 3000), *((i, i + 5) for i in range(10, 500, 10))]).touch(2990, 3010)
-    assert not secrets._Intervals([(0, 9), (20, 30)]).touch(9, 20) and not secrets._Intervals([]).touch(0, 5)
     assert [k for k, *_ in secrets.find(f"{long} {inside} login=alice")[1]] == ["identifier"]
     beside = secrets.find(f"login=alice password=abcdefgh1")
     assert [k for k, *_ in beside[0]] == ["assign"] and [k for k, *_ in beside[1]] == ["identifier"]
@@ -228,6 +228,34 @@ def test_plain_divs_keep_a_lead_and_a_short_last_part():
     assert len(found) == 12 and found[-1].endswith("names, 3")
 
 
+@pytest.mark.parametrize(
+    "around",
+    [
+        '<article class="post has-comments comments-open">{}</article>',
+        '<div class="post-content comments-open">{}</div>',
+        '<section class="discussion">{}</section>',
+        '<div class="has-sidebar">{}</div>',
+        '<div class="layout right sidebar-right">{}</div>',
+        '<form id="aspnetForm" action="/x">{}<input name="q"><button>Go</button></form>',
+        '<div class="no-banner header-fixed footer-dark cookie-bar-open"><div id="page" class="menu-collapsed">{}</div></div>',
+        '<body class="modal-ready"><div class="widget-area-off social-on"><main>{}</main></div>',
+    ],
+)
+def test_state_words_lose_no_article(around):
+    story = "".join(f"<p>Paragraph {i}, which is long enough, with commas, to be read.</p>" for i in range(6))
+    side = '<div class="sidebar"><p>Read this, too.</p></div><form><p>Sign up</p></form><div class="cookie-notice">We use cookies.</div>'
+    comments = "".join(f'<div class="comment-{i}"><p>I think, no.</p></div>' for i in range(3))
+    page = f'<html><body><nav>Menu</nav>{around.format(story)}{side}<div id="comments">{comments}</div></body></html>'
+    assert html.main_blocks(page) == [f"Paragraph {i}, which is long enough, with commas, to be read." for i in range(6)]
+
+
+def test_comments_go_however_long_they_are():
+    story = "<p>A short story, but the story.</p>"
+    for names in ("comments", "comment-list", "post-comments", "comments-area", "disqus_thread", "respond"):
+        many = "".join(f"<p>Reader {i}, at length, has this and that to say about it.</p>" for i in range(9))
+        assert html.main_blocks(f'<article>{story}</article><section class="{names}">{many}</section>') == ["A short story, but the story."]
+
+
 def test_html_query(spark, tmp_path):
     rows = [(1, "u", PAGE, "x"), (2, None, None, "x"), (2, "u", "", "x"), (None, "u", "<p>a&nbsp;b</p>", "x")]
     spark.createDataFrame(rows, "page_id long, url string, html string, text string").write.parquet(f"{tmp_path}/pages.parquet")

@@ -27,7 +27,7 @@ CLOSES = {
 }
 SCOPES = frozenset("html body article section div main table ul ol dl form aside blockquote td th".split())
 NEVER = frozenset(
-    "script style noscript template svg math canvas iframe object embed audio video nav aside footer form button select "
+    "script style noscript template svg math canvas iframe object embed audio video nav aside footer button select "
     "textarea input dialog menu head title search noembed noframes xmp".split()
 )
 CONTAINERS = frozenset("article body blockquote dd div html main section td".split())
@@ -43,11 +43,16 @@ _BEGUN = re.compile(r"<[A-Za-z/!?]")
 _NAMED = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _UNLIKELY = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|alerts?|banners?|bread-?crumbs?|consent|cookies?|disclaimer|disqus|foot(?:er)?|gdpr|head(?:er)?|login|"
-    r"masthead|menu\w*|modal|nav\w*|newsletter|notices?|notification|pager|pagination|popup|promo\w*|recommend\w*|related|"
+    r"discussion|masthead|menu\w*|modal|nav\w*|newsletter|notices?|notification|pager|pagination|popup|promo\w*|recommend\w*|related|"
     r"shar(?:e|ing)|side-?bar\w*|sign-?up|social|sponsor\w*|subscribe|subscription|toolbar|tool-?tip|widgets?)(?:$|[\s_-])",
     re.I,
 )
-_COMMENT = re.compile(r"(?:^|[\s_-])(?:comments?|comment-?list|disqus\w*|replies|respond|discussion)(?:$|[\s_-])", re.I)
+#: Reader comments by a whole name; a theme's state, such as "has-comments" or "comments-open", is none.
+_COMMENT = re.compile(
+    r"(?:^|\s)(?:(?:all|post|reader|user|the)[_-])?(?:comments?|comment-?list|disqus\w*|replies|respond)"
+    r"(?:[_-](?!open|closed?|off|on|enabled|disabled|link|count)[\w-]+)?(?:$|\s)",
+    re.I,
+)
 _LIKELY = re.compile(r"(?:^|[\s_-])(?:article\w*|body|content|entry|main|post|story|text)(?:$|[\s_-])", re.I)
 _SPACE = re.compile(r"\s+")
 
@@ -56,7 +61,7 @@ class _Tree:
     """Elements by number, a parent before its children, and blocks of text in page order."""
 
     def __init__(self, page: str):
-        self.tag, self.parent, self.dead, self.weight = ["#"], [0], [False], [0.0]
+        self.tag, self.parent, self.dead, self.weight, self.doubtful = ["#"], [0], [False], [0.0], [False]
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters in links
         self._stack, self._pieces, self._owner, self._linked = [0], [], 0, 0
         self._opened: Counter[str] = Counter()  # open elements by name
@@ -110,13 +115,14 @@ class _Tree:
         if name in VOID:
             return
         over = self._stack[-1]
-        dead, weight = self.dead[over], 0.0
+        dead, weight, doubtful = self.dead[over], 0.0, False
         if not dead:
-            dead, weight = _judged(name, rest, name == "header" and not self._within(WHOLE))
+            dead, weight, doubtful = _judged(name, rest, name == "header" and not self._within(WHOLE))
         self.tag.append(name)
         self.parent.append(over)
         self.dead.append(dead)
         self.weight.append(weight)
+        self.doubtful.append(doubtful)
         self._stack.append(len(self.tag) - 1)
         self._opened[name] += 1
         if name in BLOCKS:
@@ -155,15 +161,20 @@ class _Tree:
             self._flush()
 
 
-def _judged(name: str, rest: str, outer_header: bool) -> tuple[bool, float]:
-    """Whether an element can't be part of an article, and the weight of its names."""
+def _judged(name: str, rest: str, outer_header: bool) -> tuple[bool, float, bool]:
+    """Whether an element can't be part of an article, the weight of its names, and whether they are doubtful.
+
+    Names that menus, notices and the like have may also tell the state of a
+    page, on an element around all of it.
+    """
     if name in NEVER or outer_header:
-        return True, 0.0
+        return True, 0.0, False
+    doubtful = name == "form"
     if not rest or rest == "/" or name in ("html", "body"):
-        return False, 0.0
+        return False, 0.0, doubtful
     has = {k.lower(): v.strip("\"'") for k, v in _NAMED.findall(rest)}
     if not has:
-        return False, 0.0
+        return False, 0.0, doubtful
     names = f"{has.get('class', '')} {has.get('id', '')}"
     gone = (
         has.get("role", "").lower() in ROLES
@@ -171,9 +182,27 @@ def _judged(name: str, rest: str, outer_header: bool) -> tuple[bool, float]:
         or has.get("aria-hidden", "").lower() == "true"
         or re.search(r"display\s*:\s*none", has.get("style", ""), re.I)
         or _COMMENT.search(names)
-        or (name not in WHOLE and _UNLIKELY.search(names) and not _LIKELY.search(names))
     )
-    return bool(gone), 25.0 if _LIKELY.search(names) else 0.0
+    likely = bool(_LIKELY.search(names))
+    doubtful = doubtful or bool(name not in WHOLE and not likely and _UNLIKELY.search(names))
+    return bool(gone), 25.0 if likely else 0.0, doubtful
+
+
+def _in_doubt(tree: _Tree) -> list[bool]:
+    """Elements of doubtful names, and all in them, but for one that holds most of the page's text, and not in links."""
+    n = len(tree.tag)
+    length, linked = [0] * n, [0] * n
+    for node, text, in_links in tree.blocks:
+        length[node] += len(text)
+        linked[node] += in_links
+    for i in range(n - 1, 0, -1):
+        length[tree.parent[i]] += length[i]
+        linked[tree.parent[i]] += linked[i]
+    gone = [False] * n
+    for i in range(1, n):
+        most = 2 * length[i] > length[0] and 2 * linked[i] <= length[i]
+        gone[i] = gone[tree.parent[i]] or (tree.doubtful[i] and not most)
+    return gone
 
 
 def main_blocks(page: str | None) -> list[str]:
@@ -186,10 +215,15 @@ def main_blocks(page: str | None) -> list[str]:
     if it has a fifth of its score; raised to the article around it, it is kept.
     One not marked is kept with all that stands beside it or beside an element
     around it, paragraphs, text and elements of any length, but what has more than half of its text in links;
-    elements with the names of menus, notices and the like are gone before.
+    elements with the names of menus, notices and the like are gone before,
+    unless one holds more than half of the page's text, and forms likewise. Of
+    several articles beside each other the best one is taken, with what is in it.
     """
     tree = _Tree(page or "")
     n = len(tree.tag)
+    if any(tree.doubtful):
+        gone = _in_doubt(tree)
+        tree.blocks = [b for b in tree.blocks if not gone[b[0]]]
     points, length, linked, links_only = [0.0] * n, [0] * n, [0] * n, [0] * n
     for node, text, in_links in tree.blocks:
         length[node] += len(text)

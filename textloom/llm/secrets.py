@@ -28,8 +28,7 @@ WEAK = (
 #: The role of a kind: who, what or where. A weak part counts beside a part of another role.
 ROLE = {"assign": "what", "hex": "what", "key": "what", "access": "who", "identifier": "who", "endpoint": "where"}
 KINDS = tuple(k for k, *_ in BASE) + tuple(k for k, *_ in WEAK)
-#: A scope ends at an empty line; within it, parts link over so many code points.
-REACH = 400
+#: A scope ends at an empty line.
 _SCOPE = re.compile(r"\n[ \t\r]*\n")
 _WORDS = ("passw", "secret", "token", "api")
 
@@ -53,10 +52,10 @@ def weak_spans(text: str) -> list[Span]:
     return [(kind, m.start(group), m.end(group)) for kind, pattern, group in WEAK for m in pattern.finditer(text)]
 
 
-def linked(text: str, strong: list[Span], weak: list[Span], reach: int = REACH) -> list[Span]:
-    """The weak spans that have a part of another role near them in their scope.
+def linked(text: str, strong: list[Span], weak: list[Span]) -> list[Span]:
+    """The weak spans that have a part of another role in their scope, however far away.
 
-    Parts of a scope are joined by their intervals, in order of their starts.
+    The intervals of parts are joined with that of the scope they begin in.
     At least one of the two roles has to be a secret: an identifier beside an
     endpoint is an address, no credential. A part that overlaps a strong span
     says nothing new and is left out.
@@ -66,16 +65,13 @@ def linked(text: str, strong: list[Span], weak: list[Span], reach: int = REACH)
     ends = [m.end() for m in _SCOPE.finditer(text)]
     covered = _Intervals((s, e) for _, s, e in strong)
     fresh = [w for w in weak if not covered.touch(w[1], w[2])]
-    parts: dict[int, dict[str, list[tuple[int, int]]]] = {}
-    for kind, s, e in [*strong, *fresh]:
-        roles = parts.setdefault(_place(ends, s), {})
-        roles.setdefault(ROLE[kind], []).append((s, e))
-    joined = {place: {r: _Intervals(spans) for r, spans in roles.items()} for place, roles in parts.items()}
+    roles: dict[int, set[str]] = {}
+    for kind, s, _ in [*strong, *fresh]:
+        roles.setdefault(_place(ends, s), set()).add(ROLE[kind])
     out = []
     for kind, s, e in fresh:
-        roles = joined[_place(ends, s)]
-        wanted = ("who", "where") if ROLE[kind] == "what" else ("what",)
-        if any(r in roles and roles[r].touch(s - reach, e + reach) for r in wanted):
+        wanted = {"who", "where"} if ROLE[kind] == "what" else {"what"}
+        if wanted & roles[_place(ends, s)]:
             out.append((kind, s, e))
     return out
 

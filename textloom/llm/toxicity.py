@@ -189,18 +189,21 @@ def fit_on(
 ) -> ToxicityModel:
     """Fit on labelled documents that are not held out.
 
-    At most ``toxic_rows`` and ``ordinary_rows`` rows are drawn, those whose
-    ids have the smallest hashes; only they come to the driver. Null labels and
-    ids are left out.
+    At most ``toxic_rows`` and ``ordinary_rows`` ids are drawn, those of the
+    smallest hashes; only their texts come to the driver, one for each id: that
+    of the smallest hash where documents share an id. An id with several labels
+    has the highest. Null labels and ids are left out.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
     known = known.where(F.col("y").isin(0, 1) & F.col("id").isNotNull() & ~held_out("id"))
+    known = known.groupBy("id").agg(F.max("y").alias("y"))
     known = known.join(docs.select(F.col(id_col).alias("id")).distinct(), "id", "left_semi")
     order = (F.xxhash64("id"), "id")
     chosen = known.where("y = 1").orderBy(*order).limit(toxic_rows)
     chosen = chosen.union(known.where("y = 0").orderBy(*order).limit(ordinary_rows))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    found = texts.join(F.broadcast(chosen), "id").select("text", "y").toPandas()
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"].alias("text")
+    found = texts.join(F.broadcast(chosen), "id").groupBy("id", "y").agg(one).select("text", "y").toPandas()
     return fit(sorted(zip(found["text"].fillna(""), found["y"].tolist(), strict=True)))
 
 
