@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 import zlib
+from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -20,15 +21,19 @@ from textloom.llm.ship import ship
 #: Labelled rows that a model is fitted on, at most, of each label.
 TOXIC_ROWS = 2_000
 ORDINARY_ROWS = 6_000
-#: Words of a window, bytes of the dictionaries, windows that train the ordinary one.
+#: Windows of each label that train a dictionary, at most; the longest rows give less than all.
+TRAINING_WINDOWS = 250_000
+#: A word is written as codes of itself and of its beginnings of so many letters.
+BEGINNINGS = (4, 6)
+#: Bytes of a code, codes of a window, bytes of the dictionaries.
+CODE = 16
 WINDOW = 16
-ORDINARY_BYTES = 32_768
+ORDINARY_BYTES = 131_072
 TOXIC_BYTES = 4_096
-TRAINING_WINDOWS = 60_000
-#: A word trains the toxic dictionary if it follows so many different words there,
-#: and its log odds against ordinary text are above this by two standard errors.
-CONTEXTS = 6
-ODDS = 1.0
+#: Codes that are added to a dictionary for those that the trainer's header replaced.
+LOST = 32
+#: Bytes that a window saves with about one, two and three toxic codes.
+STEPS = (6, 18, 30)
 #: Parts of the rows, each measured with dictionaries of the others for the calibration.
 FOLDS = 4
 LEVEL = 6
@@ -38,8 +43,16 @@ def words_of(text: str | None) -> list[str]:
     return re.sub(r"\W+", " ", (text or "").lower()).split()
 
 
+@lru_cache(1 << 16)
+def codes(word: str) -> bytes:
+    """The word and its beginnings as hashes of one length, so that any of them saves as much when a dictionary has it."""
+    units = [word, *(word[:n] for n in BEGINNINGS if len(word) > n)]
+    return b"".join(xxhash.xxh3_128_digest(u.encode("utf-8")) for u in units)
+
+
 def windows(words: list[str]) -> list[bytes]:
-    return [" ".join(words[i : i + WINDOW]).encode("utf-8") for i in range(0, len(words), WINDOW)]
+    text = b"".join(map(codes, words))
+    return [text[i : i + WINDOW * CODE] for i in range(0, len(text), WINDOW * CODE)]
 
 
 @dataclass(frozen=True)
@@ -48,7 +61,9 @@ class ToxicityModel:
 
     Both compressors know the dictionary of ordinary text; the toxic one also
     knows the dictionary of toxic text in front of it. What they have in common
-    cancels out, and a window that gets shorter holds toxic wording.
+    cancels out, and a window that gets shorter holds toxic wording. Windows are
+    of hashes of words: of plain text, a match of a short word saves hardly more
+    bytes than it costs.
     """
 
     ordinary: bytes
@@ -68,7 +83,12 @@ def _compressors(ordinary: bytes, toxic: bytes) -> tuple:
     out = []
     for content in (ordinary, toxic + ordinary):
         how = zstandard.ZstdCompressionParameters.from_level(
-            LEVEL, source_size=WINDOW * 8, dict_size=len(content), write_content_size=False, write_dict_id=False
+            LEVEL,
+            source_size=WINDOW * CODE,
+            dict_size=len(content),
+            min_match=4,
+            write_content_size=False,
+            write_dict_id=False,
         )
         known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         known.precompute_compress(compression_params=how)
@@ -84,7 +104,7 @@ def gains(text: str | None, ordinary: bytes, toxic: bytes) -> np.ndarray:
 
 def measures(gain: np.ndarray) -> tuple[float, ...]:
     top = np.sort(gain)[-3:]
-    return (top[-1], top.mean(), gain.mean(), *((gain >= n).mean() for n in (2, 3, 4)), np.log1p(len(gain)))
+    return (top[-1], top.mean(), gain.mean(), *((gain >= n).mean() for n in STEPS), np.log1p(len(gain)))
 
 
 def _terms(z: np.ndarray) -> np.ndarray:
@@ -97,54 +117,62 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _trained(size: int, samples: list[bytes], **how: int) -> bytes:
-    """A dictionary of zstandard's trainer; of samples too few to train, their text."""
+def _trained(size: int, samples: list[bytes]) -> bytes:
+    """A dictionary of zstandard's trainer; of samples too few to train, their codes.
+
+    The trainer writes its header over what it chose first, the most frequent
+    codes; the most frequent that it lacks follow.
+    """
     try:
-        return zstandard.train_dictionary(size, samples, **how).as_bytes()
+        trained = zstandard.train_dictionary(size, samples, k=CODE, d=8).as_bytes()
     except zstandard.ZstdError:
-        return b" ".join(samples)[-size:] or b" "
-
-
-def _contexts(texts: list[str], chosen: dict | None = None) -> tuple[int, dict[str, int]]:
-    """Different pairs of neighbours, and after how many different words each chosen word comes."""
-    number: dict[str, int] = {}
-    every, pairs = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+        return b"".join(samples)[-size:] or b" "
+    known = _parts(trained)
+    often = Counter(s[i : i + CODE] for s in samples for i in range(0, len(s), CODE))
+    lost = sorted((-n, c) for c, n in often.items() if c not in known)[:LOST]
+    return trained + b"".join(c for _, c in reversed(lost))
+
+
+def _parts(dictionary: bytes) -> set[bytes]:
+    return {dictionary[i : i + CODE] for i in range(len(dictionary) - CODE + 1)}
+
+
+def _sample(texts: list[str], most: int) -> list[bytes]:
+    """Windows of the texts, ``most`` at most: of a text with more than the share that fits, so many at random."""
+    sizes = np.sort([-(-sum(len(codes(w)) for w in words_of(t)) // (WINDOW * CODE)) for t in texts])
+    rest = np.arange(len(sizes), 0, -1)  # texts of this size or more
+    fits = np.cumsum(sizes) - sizes + sizes * rest <= most
+    if fits.all():
+        share = int(sizes[-1]) if len(sizes) else 0
+    else:
+        first = int(np.argmin(fits))
+        share = int((most - sizes[:first].sum()) // rest[first])
+    draw, sample = random.Random(7), []
     for text in texts:
-        words = words_of(text)
-        hashes = np.fromiter((xxhash.xxh32_intdigest(w) for w in ["", *words]), np.uint64, len(words) + 1)
-        every.append(np.unique(hashes[:-1] << np.uint64(32) | hashes[1:]))
-        own = (number.setdefault(w, len(number)) if chosen is None or w in chosen else -1 for w in words)
-        codes = np.fromiter(own, np.int64, len(words))
-        pairs.append(np.unique((codes.astype(np.uint64) << np.uint64(32) | hashes[:-1])[codes >= 0]))
-    found = np.unique(np.concatenate(pairs))
-    counts = np.bincount((found >> np.uint64(32)).astype(np.int64), minlength=len(number))
-    return len(np.unique(np.concatenate(every))), dict(zip(number, counts.tolist(), strict=True))
-
-
-def _dictionaries(rows: list[tuple[str, int]]) -> tuple[bytes, bytes]:
-    """Train the ordinary dictionary on windows, the toxic one on what sets toxic text apart."""
-    toxic = [t for t, y in rows if y]
-    n_toxic, often = _contexts(toxic)
-    often = {w: n for w, n in often.items() if n >= CONTEXTS}
-    plain = [t for t, y in rows if not y]
-    n_plain, seen = _contexts(plain, often)
-    marked = set()
-    for word, n in often.items():
-        m = seen.get(word, 0)
-        odds = np.log((n + 0.5) / (n_toxic + 1)) - np.log((m + 0.5) / (n_plain + 1))
-        if odds - 2 * np.sqrt(1 / (n + 0.5) + 1 / (m + 0.5)) > ODDS:
-            marked.add(word)
-    draw, share, sample = random.Random(7), TRAINING_WINDOWS / max(1, len(plain)), []
-    for text in plain:
         own = windows(words_of(text))
-        sample += own if len(own) <= share else draw.sample(own, max(1, int(share)))
-    wording = [f" {w} ".encode() for text in toxic for w in words_of(text) if w in marked]
-    return _trained(ORDINARY_BYTES, sample), _trained(TOXIC_BYTES, wording, k=48, d=8, level=3)
+        sample += own if len(own) <= share else draw.sample(own, share)
+    draw.shuffle(sample)  # the trainer takes the best of each stretch
+    return sample
+
 
+def _dictionaries(rows: list[tuple[str, int]], most: int) -> tuple[bytes, bytes]:
+    """Train the ordinary dictionary, then the toxic one on what the ordinary one lacks of toxic windows."""
+    ordinary = _trained(ORDINARY_BYTES, _sample([t for t, y in rows if not y], most))
+    known = _parts(ordinary)
+    lacking = []
+    for window in _sample([t for t, y in rows if y], most):
+        parts = (window[i : i + CODE] for i in range(0, len(window), CODE))
+        if new := b"".join(p for p in parts if p not in known):
+            lacking.append(new)
+    return ordinary, _trained(TOXIC_BYTES, lacking)
 
-def fit(rows: list[tuple[str | None, int]]) -> ToxicityModel:
+
+def fit(rows: list[tuple[str | None, int]], training_windows: int = TRAINING_WINDOWS) -> ToxicityModel:
     """A model of ``(text, 0 or 1)`` rows.
 
+    At most ``training_windows`` windows of each label train its dictionary: all, or
+    of the longest rows an equal number, drawn at random.
+
     Thresholds are calibrated on rows whose wording the dictionaries in use
     were not trained on: each part of the rows is measured with dictionaries
     of the other parts. The returned model has the dictionaries of all rows.
@@ -160,7 +188,7 @@ def fit(rows: list[tuple[str | None, int]]) -> ToxicityModel:
     fold = np.array([zlib.crc32(t.encode("utf-8")) % FOLDS for t, _ in rows])
     measured = np.zeros((len(rows), 7))
     for part in range(FOLDS):
-        known = _dictionaries([r for r, f in zip(rows, fold, strict=True) if f != part])
+        known = _dictionaries([r for r, f in zip(rows, fold, strict=True) if f != part], training_windows)
         for i in np.flatnonzero(fold == part):
             measured[i] = measures(gains(rows[i][0], *known))
     centre, spread = measured.mean(0), measured.std(0) + 1e-9
@@ -170,7 +198,7 @@ def fit(rows: list[tuple[str | None, int]]) -> ToxicityModel:
         p = _logistic(terms @ weights)
         slope = terms.T @ (label - p) - weights
         weights += np.linalg.solve((terms * (p * (1 - p))[:, None]).T @ terms + np.eye(len(weights)), slope)
-    return ToxicityModel(*_dictionaries(rows), *(tuple(map(float, x)) for x in (centre, spread, weights)))
+    return ToxicityModel(*_dictionaries(rows, training_windows), *(tuple(map(float, x)) for x in (centre, spread, weights)))
 
 
 def held_out(id_col: str = "doc_id"):
@@ -186,13 +214,15 @@ def fit_on(
     label_col: str = "toxic",
     toxic_rows: int = TOXIC_ROWS,
     ordinary_rows: int = ORDINARY_ROWS,
+    training_windows: int = TRAINING_WINDOWS,
 ) -> ToxicityModel:
     """Fit on labelled documents that are not held out.
 
     At most ``toxic_rows`` and ``ordinary_rows`` ids are drawn, those of the
     smallest hashes; only their texts come to the driver, one for each id: that
     of the smallest hash where documents share an id. An id with several labels
-    has the highest. Null labels and ids are left out.
+    has the highest. Null labels and ids are left out. Of those texts, at most
+    ``training_windows`` windows of each label train its dictionary.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
     known = known.where(F.col("y").isin(0, 1) & F.col("id").isNotNull() & ~held_out("id"))
@@ -204,13 +234,13 @@ def fit_on(
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"].alias("text")
     found = texts.join(F.broadcast(chosen), "id").groupBy("id", "y").agg(one).select("text", "y").toPandas()
-    return fit(sorted(zip(found["text"].fillna(""), found["y"].tolist(), strict=True)))
+    return fit(sorted(zip(found["text"].fillna(""), found["y"].tolist(), strict=True)), training_windows)
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row ``id_col, score double, predicted int`` per row of ``docs``.
 
-    The whole text is cut into windows of words and each is compressed twice.
+    The whole text is cut into windows of codes of words and each is compressed twice.
     A null or empty text has one window that saves nothing. Null and repeated
     ids and rows keep their row; other columns are not looked at.
     """
