@@ -217,9 +217,11 @@ def _schedule(plan: DataFrame, block: int) -> DataFrame:
     ranked = ranked.select("slot", "source_no", (F.col("before") + F.col("own")).alias("rank"))
     drawn_of = counts.groupBy("source_no").agg(F.sum("n").alias("drawn"))
     short = plan.join(drawn_of, "source_no", "left").withColumn("drawn", F.coalesce("drawn", F.lit(0)))
-    closing = short.where("drawn < slots").select(
-        "source_no", F.explode(F.sequence(F.col("drawn"), F.col("slots") - 1)).alias("rank")
-    ).select(F.lit(total).alias("slot"), "source_no", "rank")
+    short = short.where("drawn < slots")
+    left = F.sum(F.col("slots") - F.col("drawn")).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    closing = short.select("*", F.coalesce(left, F.lit(0)).alias("left")).select(
+        "source_no", "drawn", "left", F.explode(F.sequence(F.col("drawn"), F.col("slots") - 1)).alias("rank")
+    ).select((total + F.col("left") + F.col("rank") - F.col("drawn")).alias("slot"), "source_no", "rank")
     every = ranked.union(closing).join(plan, "source_no").where("rank < slots")
     at = F.col("rank") % F.col("blocks")
     done = F.floor(F.col("rank") / F.col("blocks")) * F.col("source_size") + at * block
