@@ -51,9 +51,13 @@ def admit(events: DataFrame, users: DataFrame, paths: DataFrame) -> DataFrame:
 
 
 def _salted(df: DataFrame, key: str) -> DataFrame:
-    """Rows with a key, once for each salt."""
+    """Rows with a key, once for each salt.
+
+    Spark takes the size before the repetition for that of the table, which
+    would be sent to the driver and every task; so it asks for a merge.
+    """
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    return df.where(F.col(key).isNotNull()).withColumn("_salt", salts)
+    return df.where(F.col(key).isNotNull()).withColumn("_salt", salts).hint("merge")
 
 
 def latest_ratings(log: DataFrame) -> DataFrame:
