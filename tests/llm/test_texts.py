@@ -167,6 +167,17 @@ def test_ends_of_runs_are_those_of_the_table():
             assert list(made._ends(i, numbers)) == [(c, at) for at, (c, _) in enumerate(row) if c <= made.allowed[i]]
 
 
+def test_the_bytes_that_a_template_saves_decide(monkeypatch):
+    """A long notice with changes saves more than the short one inside it, which has none."""
+    words = licenses.TEMPLATES[1][1].split()
+    text = " ".join("other" if i in (20, 40) else w for i, w in enumerate(words))
+    made = licenses.Scanner(licenses.TEMPLATES)
+    assert [(f[0], f[4], f[5]) for f in made.find(text)] == [("Apache-2.0", 2, len(licenses.words_of(text)))]
+    assert made.ranking([w for w, *_ in licenses.words_of(text)])[0] == 1
+    monkeypatch.setattr(made, "reduction", lambda i, words: 0)
+    assert [(f[0], f[4], f[5]) for f in made.find(text)] == [("Apache-2.0", 0, 7)]
+
+
 def test_differences_are_the_fewest():
     rng = random.Random(4)
 

@@ -116,6 +116,18 @@ class Scanner:
         block = " ".join(words).encode("utf-8")
         return len(self.plain.compress(block)) - len(self.under[i].compress(block))
 
+    def ranking(self, plain: list[str]) -> list[int]:
+        """The templates by the bytes that each saves of a stretch of words, most first.
+
+        A stretch is compressed in windows that overlap by ``reach`` words, so a notice is whole in one of them.
+        """
+        saved = [0] * len(self.templates)
+        for at in range(0, max(len(plain) - self.reach, 1), self.reach):
+            window = " ".join(plain[at : at + 2 * self.reach]).encode("utf-8")
+            alone = len(self.plain.compress(window))
+            saved = [max(s, alone - len(under.compress(window))) for s, under in zip(saved, self.under, strict=True)]
+        return sorted(range(len(saved)), key=lambda i: (-saved[i], i))
+
     def find(self, text: str | None) -> list[tuple]:
         """``license, start, end, reduction, differences, words`` of the notices, in order and not overlapping."""
         if not text or not any(c in text.lower() for c in _CUES):
@@ -150,7 +162,7 @@ class Scanner:
             yield block[: len(block) - max(0, since - self.reach)]
 
     def notices(self, block: list[tuple[str, int, int]]) -> list[tuple]:
-        """The notices of a block: those with the smallest share of changes first, then what lies between them."""
+        """The notices of a block: those whose template saves most first, then what lies between them."""
         plain = [w for w, _, _ in block]
         numbers = np.array([self.numbers.get(w, 0) for w in plain], np.int64)
         found, todo = [], [(0, len(plain))]
@@ -167,14 +179,20 @@ class Scanner:
         ]
 
     def _best(self, plain: list[str], numbers: np.ndarray, low: int, high: int) -> list[tuple[int, int, int, int]]:
-        """``template, start, end, changes`` of notices that do not overlap, by words, in order."""
+        """``template, start, end, changes`` of notices that do not overlap, by words, in order.
+
+        Every template is confirmed, down to the last of the ranking, and of runs that overlap the one that its
+        template saves most of is taken; the ranking of the whole stretch decides between equal savings.
+        """
         ends = []
-        for i, (_, words) in enumerate(self.templates):
+        for rank, i in enumerate(self.ranking(plain[low:high])):
+            n = len(self.templates[i][1])
             for cost, end in self._ends(i, numbers[low:high]):
-                ends.append((cost / len(words), -len(words), i, -(low + end), cost))
+                saved = self.reduction(i, plain[max(low, low + end - n) : low + end])
+                ends.append((-saved, cost / n, rank, i, -(low + end), cost))
         starts: list[int] = []  # of the taken ones, in order
         taken: list[tuple[int, int, int, int]] = []
-        for _, _, i, end, cost in sorted(ends):
+        for _, _, _, i, end, cost in sorted(ends):
             words, end = self.templates[i][1], -end
             # A run of so many words at least ends here.
             if self._taken(taken, starts, end - len(words) + cost, end):
@@ -262,11 +280,12 @@ def scan(
 
     A block is what lies within the length of the longest template, and a quarter
     more, before and after a word that notices have, across lines; blocks that
-    meet are one. All templates are compared with it word by word, and runs with
-    at most a fifth of the words changed are notices, those with the smallest
-    share first. The words that name the license are not among those that may be
-    changed. ``reduction`` is what the template saves, as a dictionary, of the
-    compressed words of the notice. ``start`` and ``end`` are code points of the
+    meet are one. It is compressed with each template as a dictionary, and down
+    this ranking, to its last, templates are confirmed word by word: runs with at
+    most a fifth of the words changed. Of runs that overlap, the one that its
+    template saves most bytes of is the notice. The words that name the license are
+    not among those that may be changed. ``reduction`` is what the template saves of
+    the compressed words of the notice. ``start`` and ``end`` are code points of the
     whole text, end exclusive.
 
     Null and empty texts have no notice. Repeated ids and rows are scanned one
