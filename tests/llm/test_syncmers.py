@@ -104,6 +104,19 @@ def test_query_is_brute_force(spark, tmp_path, monkeypatch, ranges):
     assert sorted(str(tuple(r)) for r in found.collect()) == brute([tuple(r) for r in order])
 
 
+def test_fingerprints_of_long_texts_have_all_anchors(spark, monkeypatch):
+    monkeypatch.setattr(syncmers, "BYTES", 1000)
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("abcdefghij ") for _ in range(5000)) for _ in range(4)]
+    texts[1] = texts[0][:4000] + texts[1][:1000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = sorted(syncmers.compare_with_next(docs).collect())
+    own = [set((syncmers.anchors(t)[1] >> np.uint64(32)).tolist()) for t in texts]
+    assert min(map(len, own)) > syncmers.KEPT
+    assert [len(r.fingerprint) for r in found] == [8 * len(a) for a in own]
+    assert [r.near_next for r in found] == [2 * len(own[i] & own[j]) / (len(own[i]) + len(own[j])) for i, j in ((0, 1), (1, 2), (2, 3), (3, 0))]
+
+
 def test_one_and_no_document(spark):
     one = spark.createDataFrame([(1, "only one")], "doc_id long, text string")
     assert [r.near_next for r in syncmers.compare_with_next(one).collect()] == [1.0]

@@ -19,12 +19,13 @@ from textloom.session import durable
 K, S = 12, 5
 #: Marks before a text, so that anchors also cover the beginning of one and a short one has some.
 MARKS = np.arange(0x110000, 0x110008, dtype=np.uint64)
-#: Smallest anchors that a fingerprint keeps.
+#: Smallest anchors that a sketch keeps.
 KEPT = 128
 #: Positions looked at at once, so a long text takes no more memory than a short one.
 WINDOW = 1 << 16
-#: Rows that are handed over at once, and ranges of ids at most.
+#: Rows and bytes of them that are handed over at once, and ranges of ids at most.
 ROWS = 256
+BYTES = 1 << 24
 RANGES = 1 << 15
 _FACTOR = 0x9E3779B97F4A7C15
 _POWERS = np.cumprod(np.r_[np.uint64(1), np.full(WINDOW + K, _FACTOR, np.uint64)])
@@ -81,36 +82,44 @@ def anchors(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(at), np.concatenate(hashes)
 
 
+def fingerprint(text: str | None) -> np.ndarray:
+    """All distinct anchors of a text, as 32 bits each, in ascending order."""
+    return np.unique((anchors(text)[1] >> np.uint64(32)).astype(np.uint32))
+
+
 def sketch(text: str | None) -> np.ndarray:
-    """The ``KEPT`` smallest of the distinct anchors, as 32 bits each; all of them if there are fewer."""
-    return np.unique((anchors(text)[1] >> np.uint64(32)).astype(np.uint32))[:KEPT]
+    """The ``KEPT`` smallest anchors of a fingerprint; all of them if there are fewer."""
+    return fingerprint(text)[:KEPT]
 
 
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Twice the common anchors over all anchors of two sketches: exact below ``KEPT`` anchors, else estimated.
+def likeness(a: np.ndarray, b: np.ndarray, kept: int | None = KEPT) -> float:
+    """Twice the common anchors over all anchors of two sketches: exact below ``kept`` anchors, else estimated.
 
-    Half of it for two texts that share one half. Two texts without anchors are alike.
+    Half of it for two texts that share one half. Two texts without anchors are
+    alike. Of fingerprints, with ``kept`` None, it is exact at any length.
     """
     if not len(a) and not len(b):
         return 1.0
     both = np.intersect1d(a, b, assume_unique=True)
-    lowest = np.union1d(a, b)[:KEPT]
+    if kept is None:
+        return 2 * len(both) / (len(a) + len(b))
+    lowest = np.union1d(a, b)[:kept]
     shared = int(np.searchsorted(both, lowest[-1], "right"))
     return 2 * shared / (len(lowest) + shared)
 
 
 def written(found: np.ndarray) -> str:
-    """A sketch as text: eight hex digits for each anchor, in ascending order."""
+    """A fingerprint or sketch as text: eight hex digits for each anchor, in ascending order."""
     return found.astype(">u4").tobytes().hex()
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row ``id_col, fingerprint string`` per row of ``docs``; a null text has the empty fingerprint."""
+    """One row ``id_col, fingerprint string`` per row of ``docs``: all anchors; a null text has the empty one."""
     ship(docs.sparkSession)
 
     @F.arrow_udf("string")
     def of(texts: pa.Array) -> pa.Array:
-        return pa.array([written(sketch(t.as_py())) for t in texts], pa.string())
+        return pa.array([written(fingerprint(t.as_py())) for t in texts], pa.string())
 
     return docs.select(F.col(id_col), of(F.col(text_col)).alias("fingerprint"))
 
@@ -148,7 +157,8 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     One row per row of ``docs``: ``id_col``, ``n_chars long``, ``edited_sha256``,
     ``fingerprint`` and ``edited_fingerprint`` (strings), ``near_edited`` and
     ``near_next`` (doubles). The edited text has its last half replaced by as
-    much of the beginning of the next text.
+    much of the beginning of the next text. A fingerprint has all anchors of its
+    text, so likeness is counted and not estimated.
 
     Null texts count as empty. Null ids come last, rows of one id follow each
     other by hashes of their texts; rows equal in id and text are next to each
@@ -223,7 +233,7 @@ def _ranges(keys: DataFrame, order: list[str]) -> list[tuple]:
 
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """Results of sorted rows, each with its number of copies; a guest only ends the range."""
-    last = None  # bucket, key, text, copies, sketch
+    last = None  # bucket, key, text, copies, fingerprint
     for batch in batches:
         columns = [batch.column(c) for c in range(batch.num_columns)]
         for bucket, guest, n, unnamed, id_, h, g, text in zip(*columns, strict=True):
@@ -235,7 +245,7 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             if last is None and ends:
                 continue  # the range has ended already
             text = text.as_py()
-            own = sketch(text)
+            own = fingerprint(text)
             if last:
                 yield from _results(last, text, own)
             last = None if ends else [at, key, text, n, own]
@@ -243,17 +253,26 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 
 def _results(row: list, following: str, its: np.ndarray) -> Iterator[tuple]:
     _, key, text, copies, own = row
-    for other, sketched, times in ((text, own, copies - 1), (following, its, 1)):
+    for other, fingerprinted, times in ((text, own, copies - 1), (following, its, 1)):
         if times:
             changed = edited(text, other)
-            new = own if changed == text else sketch(changed)
+            new = own if changed == text else fingerprint(changed)
             sha = hashlib.sha256(changed.encode("utf-8")).hexdigest()
-            found = (key[1], len(text), sha, written(own), written(new), likeness(own, new), likeness(own, sketched))
+            found = (key[1], len(text), sha, written(own), written(new), likeness(own, new, None), likeness(own, fingerprinted, None))
             for _ in range(times):
                 yield found
 
 
 def _handed_over(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    while some := list(islice(rows, ROWS)):
+    def some_rows() -> Iterator[tuple]:
+        """``ROWS`` rows, fewer of long texts."""
+        size = 0
+        for row in islice(rows, ROWS):
+            yield row
+            size += sum(len(x) for x in row if isinstance(x, str))
+            if size > BYTES:
+                return
+
+    while some := list(some_rows()):
         columns = [pa.array(c, f.type) for c, f in zip(zip(*some, strict=True), schema, strict=True)]
         yield pa.RecordBatch.from_arrays(columns, schema=schema)
