@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import mixing, pieces, secrets, shingles
+from textloom.llm import mixing, pieces, secrets, shingles, simhash
 from textloom.llm import toxicity as toxic
+from textloom.llm.components import components
 from textloom.llm.queries import digests, tokenizer_file
 from textloom.llm.ship import shared_folder
+from textloom.session import durable
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,13 +28,20 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id, null last.
 
-    Near are texts with a Jaccard similarity of 0.8 of their shingles of five words.
-    A row is known by its id and a hash of all its columns, so repeated ids are
-    told apart; of equal rows one stays.
+    Near are texts whose SimHash fingerprints differ in at most four bits, and
+    texts with a Jaccard similarity of 0.8 of their shingles of five words,
+    which fingerprints mostly miss; groups of either kind that share a document
+    are one. A row is known by its id and a hash of all its columns, so repeated
+    ids are told apart; of equal rows one stays.
     """
     row = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), _mark(docs).alias("mark"))
-    found = shingles.near_duplicates(docs.select(row.alias("row"), "text"), id_col="row")
-    first = found.groupBy("component_id").agg(F.lit(1).alias("one")).select("component_id.mark")
+    named = docs.select(row.alias("row"), "text")
+    by_bits = simhash.near_duplicates(named, id_col="row").select("row", F.col("component_id").alias("a")).distinct()
+    by_sets = shingles.near_duplicates(named, id_col="row").select("row", F.col("component_id").alias("b")).distinct()
+    # Both kinds name a group by its first row, so groups that share a row are a link of two rows.
+    both = durable(by_bits.join(by_sets, "row"))
+    later = components(both.select("a", "b"), "a", "b").where("node <> root").select(F.col("node").alias("row"))
+    first = both.where("row = a AND row = b").join(later, "row", "left_anti").select("row.mark")
     marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), _mark(docs).alias("mark"))
     kept = marked.join(first, "mark", "left_semi")
     return kept.dropDuplicates(["mark"]).select("doc.*")

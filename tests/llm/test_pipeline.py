@@ -109,6 +109,25 @@ def test_a_source_of_one_long_document_is_cut(spark):
     assert words == target and words % 4000 and all(r.n_chars == len(r.text) for r in found)
 
 
+def test_near_duplicates_are_those_of_fingerprints_and_of_sets(spark, monkeypatch):
+    """Groups by fingerprints {0, 1, 2} and {4, 5} and by sets {2, 3} and {5, 6}: one of each chain stays."""
+    docs = spark.createDataFrame([(i, str(i), "en", "a", 1) for i in [*range(8), 7]] + [(None, "8", "en", "a", 1)], SCHEMA)
+
+    def groups(of):
+        def near_duplicates(named, id_col):
+            rows = {r.row.id: r.row for r in named.collect()}
+            found = [(r.row, rows[of.get(r.row.id, r.row.id)]) for r in named.select("row").collect()]
+            kind = named.schema["row"].dataType.simpleString()
+            return spark.createDataFrame(found, f"row {kind}, component_id {kind}")
+
+        return near_duplicates
+
+    monkeypatch.setattr(corpus_pipeline.simhash, "near_duplicates", groups({1: 0, 2: 0, 5: 4}))
+    monkeypatch.setattr(corpus_pipeline.shingles, "near_duplicates", groups({3: 2, 6: 5}))
+    found = [r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    assert sorted(found, key=str) == [0, 4, 7, None]
+
+
 def test_clashing_columns(spark):
     rows = [(1, "password=abcdefgh12345", "en", "a", 22), (1, "password=abcdefgh12345", "en", "a", 22), (None, None, None, None, 0)]
     docs = spark.createDataFrame([(*r, "x", "y", "z") for r in rows], SCHEMA + ", mark_ string, before_ string, doc string")
