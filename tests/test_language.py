@@ -136,3 +136,18 @@ def test_named_languages(docs):
 def test_no_labels(docs):
     with pytest.raises(ValueError):
         LanguageModel.fit(docs.where("lang_code IS NULL"))
+
+
+def test_a_row_for_each_distinct_bigram(docs_of, monkeypatch):
+    """Not one for each place in a text; letters beyond the basic plane, no text and no letters count as well."""
+    from textloom.operators import language
+
+    texts = {"a": "ABAB ab\nba", "b": "𐐀𐐀𐐀x1y", "c": "", "d": "1 2", "e": "The the " * 1000, "f": "é́éé"}
+    for at_once in (1, 1 << 21):
+        monkeypatch.setattr(language, "LETTERS", at_once)
+        found = language._bigram_counts(docs_of(texts), "path").collect()
+        got = {(r.path, r.gram): r.times for r in found}
+        assert len(got) == len(found) and got == {
+            ("a", "ab"): 3, ("a", "ba"): 2, ("b", "𐐨𐐨"): 2, ("b", "𐐨x"): 1, ("c", None): 0, ("d", None): 0,
+            ("e", "th"): 2000, ("e", "he"): 2000, ("f", "éé"): 1,
+        }
