@@ -321,3 +321,31 @@ def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert toxicity.score(docs, toxicity.fit([])).collect() == []
     assert secrets.scan(docs).collect() == [] and html.extract(docs, "doc_id", "text").collect() == []
+
+
+def test_toxicity_compresses_only_windows_with_toxic_wording(monkeypatch):
+    """Of a long text with one toxic passage, the other windows save nothing and are not compressed."""
+    plain = [(" ".join(f"word{(i * 7 + j) % 300}" for j in range(60)), 0) for i in range(40)]
+    rude = [(" ".join(f"rude{(i + j) % 9}" for j in range(20)), 1) for i in range(20)]
+    model = toxicity.fit(plain + rude)
+    calls = []
+    compressors = toxicity._compressors
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def compress(self, window):
+            calls.append(window)
+            return self.inner.compress(window)
+
+    monkeypatch.setattr(toxicity, "_compressors", lambda *both: tuple(map(Counted, compressors(*both))))
+    text = " ".join([plain[0][0]] * 20 + [rude[0][0]] + [plain[1][0]] * 20)
+    found = toxicity.gains(text, model.ordinary, model.toxic)
+    every = toxicity.windows(toxicity.coded(text))
+    one, two = compressors(model.ordinary, model.toxic)
+    assert len(found) == len(every) > 200
+    assert found.tolist() == [len(one.compress(w)) - len(two.compress(w)) for w in every]
+    assert found.max() > 0 and len(calls) < 20
+    assert toxicity.gains("", model.ordinary, model.toxic).tolist() == [0]
+    assert toxicity.gains(None, model.ordinary, b" ").tolist() == [0]

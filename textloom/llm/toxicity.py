@@ -5,7 +5,6 @@ from __future__ import annotations
 import random
 import re
 import zlib
-from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -39,20 +38,51 @@ FOLDS = 4
 LEVEL = 6
 
 
+_WORD = re.compile(r"\w+")
+
+
 def words_of(text: str | None) -> list[str]:
-    return re.sub(r"\W+", " ", (text or "").lower()).split()
+    return _WORD.findall((text or "").lower())
 
 
-@lru_cache(1 << 16)
+@lru_cache(1 << 17)
 def codes(word: str) -> bytes:
     """The word and its beginnings as hashes of one length, so that any of them saves as much when a dictionary has it."""
     units = [word, *(word[:n] for n in BEGINNINGS if len(word) > n)]
     return b"".join(xxhash.xxh3_128_digest(u.encode("utf-8")) for u in units)
 
 
-def windows(words: list[str]) -> list[bytes]:
-    text = b"".join(map(codes, words))
-    return [text[i : i + WINDOW * CODE] for i in range(0, len(text), WINDOW * CODE)]
+def coded(text: str | None) -> bytes:
+    return b"".join(map(codes, words_of(text)))
+
+
+def windows(coded_text: bytes) -> list[bytes]:
+    return [coded_text[i : i + WINDOW * CODE] for i in range(0, len(coded_text), WINDOW * CODE)]
+
+
+def _number_of_windows(text: str) -> int:
+    words = words_of(text)
+    return -(-(len(words) + sum(len(w) > n for w in words for n in BEGINNINGS)) // WINDOW)
+
+
+def _halves(coded_text: bytes) -> np.ndarray:
+    return np.frombuffer(coded_text, np.uint64)
+
+
+def _keys(halves: np.ndarray) -> np.ndarray:
+    """A number for each code, given its first and second half."""
+    return halves[0] * np.uint64(0x9E3779B97F4A7C15) + halves[1]
+
+
+@lru_cache(8)
+def _known(dictionary: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of the codes and the halves of codes that a dictionary has, at any place, in order."""
+    places = np.frombuffer(dictionary, np.uint8)
+    if len(places) < CODE:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    starts = np.lib.stride_tricks.sliding_window_view(places, CODE // 2)
+    halves = np.ascontiguousarray(starts).view(np.uint64).ravel()
+    return np.unique(_keys((halves[: -CODE // 2], halves[CODE // 2 :]))), np.unique(halves)
 
 
 @dataclass(frozen=True)
@@ -97,9 +127,21 @@ def _compressors(ordinary: bytes, toxic: bytes) -> tuple:
 
 
 def gains(text: str | None, ordinary: bytes, toxic: bytes) -> np.ndarray:
-    """By window, the bytes that toxic wording saves."""
+    """By window, the bytes that toxic wording saves.
+
+    A window without a code, or half of one, of the toxic dictionary saves
+    nothing, so only the others, one of seven or so, are compressed.
+    """
     plain, other = _compressors(ordinary, toxic)
-    return np.array([len(plain.compress(w)) - len(other.compress(w)) for w in windows(words_of(text))] or [0])
+    whole, (_, known) = coded(text), _known(toxic)
+    gain = np.zeros(max(1, -(-len(whole) // (WINDOW * CODE))), int)
+    if len(known):
+        halves = _halves(whole)
+        found = known.take(known.searchsorted(halves), mode="clip") == halves
+        for i in np.unique(np.flatnonzero(found) // (2 * WINDOW)).tolist():
+            window = whole[i * WINDOW * CODE : (i + 1) * WINDOW * CODE]
+            gain[i] = len(plain.compress(window)) - len(other.compress(window))
+    return gain
 
 
 def measures(gain: np.ndarray) -> tuple[float, ...]:
@@ -127,19 +169,26 @@ def _trained(size: int, samples: list[bytes]) -> bytes:
         trained = zstandard.train_dictionary(size, samples, k=CODE, d=8).as_bytes()
     except zstandard.ZstdError:
         return b"".join(samples)[-size:] or b" "
-    known = _parts(trained)
-    often = Counter(s[i : i + CODE] for s in samples for i in range(0, len(s), CODE))
-    lost = sorted((-n, c) for c, n in often.items() if c not in known)[:LOST]
-    return trained + b"".join(c for _, c in reversed(lost))
-
-
-def _parts(dictionary: bytes) -> set[bytes]:
-    return {dictionary[i : i + CODE] for i in range(len(dictionary) - CODE + 1)}
-
-
-def _sample(texts: list[str], most: int) -> list[bytes]:
-    """Windows of the texts, ``most`` at most: of a text with more than the share that fits, so many at random."""
-    sizes = np.sort([-(-sum(len(codes(w)) for w in words_of(t)) // (WINDOW * CODE)) for t in texts])
+    keys, places, often = np.unique(_sample_keys(samples), return_index=True, return_counts=True)
+    lost = np.flatnonzero(~np.isin(keys, _known(trained)[0]))
+    least = np.sort(often[lost])[-LOST:][:1]
+    lost = lost[often[lost] >= least]
+    starts = np.cumsum([0] + [len(s) // CODE for s in samples])
+    inside = starts.searchsorted(places[lost], "right") - 1
+    found = zip(often[lost].tolist(), inside.tolist(), (places[lost] - starts[inside]).tolist(), strict=True)
+    found = sorted((-n, samples[i][k * CODE : (k + 1) * CODE]) for n, i, k in found)
+    return trained + b"".join(c for _, c in reversed(found[:LOST]))
+
+
+def _sample_keys(samples: list[bytes]) -> np.ndarray:
+    """The keys of all codes of the samples, some at a time, so that they are not held twice."""
+    some = (b"".join(samples[i : i + 4096]) for i in range(0, len(samples), 4096))
+    return np.concatenate([np.zeros(0, np.uint64), *(_keys(_halves(s).reshape(-1, 2).T) for s in some)])
+
+
+def _sample(texts: list[tuple[str, int]], most: int) -> list[bytes]:
+    """Windows of ``(text, number of windows)``, ``most`` at most: of a text with more than the share that fits, so many at random."""
+    sizes = np.sort([n for _, n in texts])
     rest = np.arange(len(sizes), 0, -1)  # texts of this size or more
     fits = np.cumsum(sizes) - sizes + sizes * rest <= most
     if fits.all():
@@ -148,22 +197,25 @@ def _sample(texts: list[str], most: int) -> list[bytes]:
         first = int(np.argmin(fits))
         share = int((most - sizes[:first].sum()) // rest[first])
     draw, sample = random.Random(7), []
-    for text in texts:
-        own = windows(words_of(text))
+    for text, _ in texts:
+        own = windows(coded(text))
         sample += own if len(own) <= share else draw.sample(own, share)
     draw.shuffle(sample)  # the trainer takes the best of each stretch
     return sample
 
 
-def _dictionaries(rows: list[tuple[str, int]], most: int) -> tuple[bytes, bytes]:
+def _dictionaries(rows: list[tuple[str, int, int]], most: int) -> tuple[bytes, bytes]:
     """Train the ordinary dictionary, then the toxic one on what the ordinary one lacks of toxic windows."""
-    ordinary = _trained(ORDINARY_BYTES, _sample([t for t, y in rows if not y], most))
-    known = _parts(ordinary)
-    lacking = []
-    for window in _sample([t for t, y in rows if y], most):
-        parts = (window[i : i + CODE] for i in range(0, len(window), CODE))
-        if new := b"".join(p for p in parts if p not in known):
-            lacking.append(new)
+    ordinary = _trained(ORDINARY_BYTES, _sample([(t, n) for t, y, n in rows if not y], most))
+    sample = _sample([(t, n) for t, y, n in rows if y], most)
+    new = ~np.isin(_sample_keys(sample), _known(ordinary)[0])
+    lacking, start = [], 0
+    for window in sample:
+        own = new[start : start + len(window) // CODE]
+        start += len(own)
+        if own.any():
+            lacking.append(np.frombuffer(window, f"V{CODE}")[own].tobytes())
+    del sample, new
     return ordinary, _trained(TOXIC_BYTES, lacking)
 
 
@@ -186,6 +238,7 @@ def fit(rows: list[tuple[str | None, int]], training_windows: int = TRAINING_WIN
         odds = np.log((share + 1e-3) / (1 - share + 1e-3))
         return ToxicityModel(b" ", b" ", (0.0,) * 7, (1.0,) * 7, (float(odds), *(0.0,) * 9))
     fold = np.array([zlib.crc32(t.encode("utf-8")) % FOLDS for t, _ in rows])
+    rows = [(t, y, _number_of_windows(t)) for t, y in rows]
     measured = np.zeros((len(rows), 7))
     for part in range(FOLDS):
         known = _dictionaries([r for r, f in zip(rows, fold, strict=True) if f != part], training_windows)
@@ -234,7 +287,13 @@ def fit_on(
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"].alias("text")
     found = texts.join(F.broadcast(chosen), "id").groupBy("id", "y").agg(one).select("text", "y").toPandas()
-    return fit(sorted(zip(found["text"].fillna(""), found["y"].tolist(), strict=True)), training_windows)
+    rows = sorted(zip(found["text"].fillna(""), found["y"].tolist(), strict=True))
+    del found
+    model = fit(rows, training_windows)
+    # The driver has no more use for what it kept while it fitted.
+    for kept in (codes, _known, _compressors):
+        kept.cache_clear()
+    return model
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
