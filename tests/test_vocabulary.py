@@ -1,3 +1,4 @@
+import time
 from collections import Counter
 
 import pytest
@@ -103,3 +104,28 @@ def test_where_with_a_tail(docs_of):
     docs = docs_of({"a": "x1 x1", "b": "x2", "c": "x3"})
     got = found(vocabulary(docs, where="mtime >= (SELECT min(mtime) + 1 FROM df) ORDER BY path DESC LIMIT 1"))
     assert got == [("x3", 1, 1)]
+
+
+def test_a_window_is_one_row_before_it_is_counted(docs_of):
+    """Windows are neither exploded a second time for df nor made distinct apart; repeats count once for df."""
+    texts = {"data/a/1.txt": "ba ba ba ba ab ba ba", "data/a/2.txt": "ba ba", "data/a/3.txt": "", "data/a/4.txt": "ba"}
+    for n in (1, 2, 3):
+        counted = vocabulary(docs_of(texts), n, ordered=False)
+        plan = counted._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Generate posexplode") == 1 and plan.count("Generate") == 1 and "array_distinct" not in plan
+        assert sorted(found(counted)) == sorted(brute_force(texts, n))
+
+
+def test_a_long_document_takes_time_in_proportion(spark):
+    """The windows of a document are not copied for each of them: 16 times the words may take 64 times as long, not 256."""
+
+    def seconds(words):
+        text = " ".join(f"w{i % 9973}" for i in range(words))
+        docs = spark.createDataFrame([("data/a/1.txt", bytearray(text.encode()))], "path string, content binary")
+        start = time.perf_counter()
+        total = vocabulary(docs, 2, ordered=False).agg(F.sum("tf"), F.max("df")).first()
+        assert tuple(total) == (words - 1, 1)
+        return time.perf_counter() - start
+
+    seconds(5_000)
+    assert seconds(320_000) < 64 * max(seconds(20_000), 0.25)

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.functions.arrays import let
 from textloom.functions.text import decode, document_id
 from textloom.functions.words import has_category, ngrams, tokens, without, words
 from textloom.operators.lists import allow as allow_list
@@ -63,25 +62,27 @@ def vocabulary(
 def _count_in_rows(
     docs: DataFrame, n: int, min_token_len: int, categories: Sequence[str], stopwords: Sequence[str]
 ) -> DataFrame:
-    """Windows and distinct windows are formed inside the row of the document.
+    """Windows are formed and sorted inside the row of the document.
 
-    So one shuffle is enough, on the token, and it carries partial counts: a
-    token of a third of all rows leaves one row per task. explode_outer keeps
-    the optimizer from adding a size filter that would tokenise twice.
+    Equal windows are neighbours then, and the first of them counts the
+    document. So a window is one row, and one shuffle is enough, on the token;
+    it carries partial counts: a token of a third of all rows leaves one row
+    per task. posexplode_outer keeps the optimizer from adding a size filter
+    that would tokenise twice.
     """
     kept = docs.select(tokens(decode(F.col("content")), min_token_len, categories).alias("kept"))
     grams = ngrams(without("kept", stopwords) if stopwords else F.col("kept"), n)
-    # Position 0 holds all windows, position 1 each of them once.
-    both = let(grams, lambda g: F.array(g, F.array_distinct(g)))
+    first = F.coalesce(F.get("grams", F.col("i") - 1) != F.col("token"), F.lit(True))
     return (
-        kept.select(F.posexplode_outer(both).alias("once", "grams"))
-        .select("once", F.explode_outer("grams").alias("token"))
+        kept.select(F.sort_array(grams).alias("grams"))
+        .select("grams", F.posexplode_outer("grams").alias("i", "token"))
         .where(F.col("token").isNotNull())
         .groupBy("token")
-        .agg(F.sum(1 - F.col("once")).alias("tf"), F.sum("once").alias("df"))
+        .agg(F.count("*").alias("tf"), F.sum(first.cast("long")).alias("df"))
     )
 
 
+
 def _count_joined(
     docs: DataFrame, n: int, min_token_len: int, categories: Sequence[str], stopwords: DataFrame
 ) -> DataFrame:
