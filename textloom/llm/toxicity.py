@@ -169,14 +169,21 @@ def _trained(size: int, samples: list[bytes]) -> bytes:
         trained = zstandard.train_dictionary(size, samples, k=CODE, d=8).as_bytes()
     except zstandard.ZstdError:
         return b"".join(samples)[-size:] or b" "
-    keys, places, often = np.unique(_sample_keys(samples), return_index=True, return_counts=True)
-    lost = np.flatnonzero(~np.isin(keys, _known(trained)[0]))
-    least = np.sort(often[lost])[-LOST:][:1]
-    lost = lost[often[lost] >= least]
-    starts = np.cumsum([0] + [len(s) // CODE for s in samples])
-    inside = starts.searchsorted(places[lost], "right") - 1
-    found = zip(often[lost].tolist(), inside.tolist(), (places[lost] - starts[inside]).tolist(), strict=True)
-    found = sorted((-n, samples[i][k * CODE : (k + 1) * CODE]) for n, i, k in found)
+    keys = _sample_keys(samples)
+    keys.sort()  # in place: they are the largest part of the memory
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    often, keys = np.diff(np.append(starts, len(keys))), keys[starts]
+    lost = ~np.isin(keys, _known(trained)[0])
+    often, keys = often[lost], keys[lost]
+    most = often >= (np.sort(often)[-LOST:][:1] if len(often) else 0)
+    often = dict(zip(keys[most].tolist(), often[most].tolist(), strict=True))
+    found = {}
+    for i in range(0, len(samples), 4096):
+        some = b"".join(samples[i : i + 4096])
+        own = _sample_keys([some])
+        for k in np.flatnonzero(np.isin(own, keys[most])).tolist():
+            found[some[k * CODE : (k + 1) * CODE]] = -often[int(own[k])]
+    found = sorted((n, c) for c, n in found.items())
     return trained + b"".join(c for _, c in reversed(found[:LOST]))
 
 
