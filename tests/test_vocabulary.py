@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from textloom.operators import vocabulary as module
 from textloom.operators.vocabulary import vocabulary
 from textloom.sources.readers import read_stopwords
 
@@ -129,3 +130,24 @@ def test_a_long_document_takes_time_in_proportion(spark):
 
     seconds(5_000)
     assert seconds(320_000) < 64 * max(seconds(20_000), 0.25)
+
+
+@pytest.mark.parametrize("n", [2, 3])
+@pytest.mark.parametrize("planned", [20_000, 2, 1])
+def test_stopword_tables_of_either_size(spark, docs_of, shuffled, monkeypatch, n, planned):
+    """A table of a few words is part of the plan, so that only windows are shuffled; a longer one is joined."""
+    monkeypatch.setattr(module, "PLANNED_STOPWORDS", planned, raising=False)
+    listed = spark.createDataFrame([("the",), ("\\w'",), ("the",), (None,), ("x",)], "value string")
+    counted = vocabulary(docs_of(TEXTS), n, stopwords=listed, ordered=False)
+    assert sorted(found(counted)) == sorted(brute_force(TEXTS, n, stop={"the"}))
+    if planned > 1:
+        assert all(columns >= {"token"} and not columns & {"doc", "pos"} for columns in shuffled(counted))
+    assert ("LeftAnti" in counted._jdf.queryExecution().optimizedPlan().toString()) == (planned < 2)
+
+
+def test_documents_of_one_path_share_no_window_in_a_join(spark, monkeypatch):
+    monkeypatch.setattr(module, "PLANNED_STOPWORDS", 0, raising=False)
+    rows = [("a", "p", bytearray(b"one two the three")), ("b", "p", bytearray(b"four the five six"))] * 2
+    docs = spark.createDataFrame(rows, "remote string, path string, content binary")
+    got = found(vocabulary(docs, 2, stopwords=spark.createDataFrame([("the",)], "value string")))
+    assert got == [(g, 2, 2) for g in ("five six", "four five", "one two", "two three")]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.text import decode, document_id
@@ -14,6 +14,9 @@ from textloom.operators.lists import deny as deny_list
 from textloom.operators.select import select_sql
 from textloom.sources.readers import long_enough
 
+#: Words of a stop-word table that become part of the plan, at most; a table of more is joined.
+PLANNED_STOPWORDS = 20_000
+
 
 def vocabulary(
     docs: DataFrame,
@@ -34,8 +37,10 @@ def vocabulary(
     ``docs`` has path and content and whatever ``where`` and the lists use.
     Windows run over the tokens that are left after the filters. Stop words
     are a sequence, which becomes part of the plan, or a table of one column
-    and any size, which is joined. ``where`` is the SQL text after WHERE, over
-    the table ``df``.
+    and any size: for windows of several tokens, one of at most
+    ``PLANNED_STOPWORDS`` words becomes part of the plan as well, and so many
+    come to the driver; a longer one is joined. ``where`` is the SQL text after
+    WHERE, over the table ``df``.
     """
     chosen = select_sql(docs, where=where) if where else docs
     if (allow is not None or deny is not None) and "ppn" not in chosen.columns:
@@ -49,6 +54,8 @@ def vocabulary(
         if n == 1:
             counted = _count_in_rows(chosen, n, min_token_len, categories, ())
             counted = counted.join(listed, "token", "left_anti")
+        elif len(few := listed.limit(PLANNED_STOPWORDS + 1).collect()) <= PLANNED_STOPWORDS:
+            counted = _count_in_rows(chosen, n, min_token_len, categories, [r["token"] for r in few])
         else:
             counted = _count_joined(chosen, n, min_token_len, categories, listed)
     else:
@@ -62,7 +69,13 @@ def vocabulary(
 def _count_in_rows(
     docs: DataFrame, n: int, min_token_len: int, categories: Sequence[str], stopwords: Sequence[str]
 ) -> DataFrame:
-    """Windows are formed and sorted inside the row of the document.
+    """The tokens of a document and their filters stay inside its row."""
+    kept = docs.select(tokens(decode(F.col("content")), min_token_len, categories).alias("kept"))
+    return _count_windows(kept.select(without("kept", stopwords).alias("kept")) if stopwords else kept, n)
+
+
+def _count_windows(kept: DataFrame, n: int) -> DataFrame:
+    """Windows are formed and sorted inside the row of the document, from its tokens ``kept``.
 
     Equal windows are neighbours then, and the first of them counts the
     document. So a window is one row, and one shuffle is enough, on the token;
@@ -70,8 +83,7 @@ def _count_in_rows(
     per task. posexplode_outer keeps the optimizer from adding a size filter
     that would tokenise twice.
     """
-    kept = docs.select(tokens(decode(F.col("content")), min_token_len, categories).alias("kept"))
-    grams = ngrams(without("kept", stopwords) if stopwords else F.col("kept"), n)
+    grams = ngrams(F.col("kept"), n)
     first = F.coalesce(F.get("grams", F.col("i") - 1) != F.col("token"), F.lit(True))
     return (
         kept.select(F.sort_array(grams).alias("grams"))
@@ -82,12 +94,13 @@ def _count_in_rows(
     )
 
 
-
 def _count_joined(
     docs: DataFrame, n: int, min_token_len: int, categories: Sequence[str], stopwords: DataFrame
 ) -> DataFrame:
-    """For a stop-word list of any size: one row per token, an anti join, then a window.
+    """For a stop-word list of any size: one row per token, an anti join, then the tokens of a document again.
 
+    Tokens are put together before they are shuffled by document, where the
+    join left them beside each other.
     A document is known by its number in the scan here, so documents with the
     same path, or the same in every column, never share a window.
     """
@@ -98,15 +111,5 @@ def _count_joined(
         keep = keep & has_category(F.col("word"), categories)
     kept = rows.where(keep).select("doc", "pos", F.lower("word").alias("token"))
     kept = kept.join(stopwords, "token", "left_anti")
-    order = Window.partitionBy("doc").orderBy("pos")
-    parts = [F.col("token")] + [F.lead("token", k).over(order) for k in range(1, n)]
-    windows = kept.select("doc", *[p.alias(f"t{k}") for k, p in enumerate(parts)])
-    whole = windows.where(F.col(f"t{n - 1}").isNotNull()).select(
-        "doc", F.concat_ws(" ", *[f"t{k}" for k in range(n)]).alias("token")
-    )
-    return (
-        whole.groupBy("doc", "token")
-        .agg(F.count("*").alias("tf"))
-        .groupBy("token")
-        .agg(F.sum("tf").alias("tf"), F.count("*").alias("df"))
-    )
+    ordered = F.sort_array(F.collect_list(F.struct("pos", "token")))
+    return _count_windows(kept.groupBy("doc").agg(ordered["token"].alias("kept")), n)
