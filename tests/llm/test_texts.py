@@ -310,6 +310,24 @@ def test_labels_of_held_out_rows_are_not_used(spark):
     assert toxicity.fit_on(docs, labels) == toxicity.fit_on(docs, other)
 
 
+def test_a_model_is_fitted_by_tasks(spark, monkeypatch):
+    """The driver trains no dictionary and sees no text; the model is that of all rows together, also with few labels."""
+    rows = [(i, t if i % 50 else None, y) for i, t, y in labelled(120)] + [(1000, "so few", 0)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(5)
+    known = [(i, y) for i, _, y in rows if zlib.crc32(str(i).encode()) % 5]
+
+    def plain(ids):
+        return toxicity.fit(sorted((t or "", y) for i, t, y in rows if i in ids))
+
+    cases = [{i for i, _ in known}, {i for i, y in known if y}, {i for i, y in known if not y}, set()]
+    wanted = [plain(ids) for ids in cases]
+    monkeypatch.setattr(toxicity, "_trained", lambda *_: pytest.fail("trained in the driver"))
+    monkeypatch.setattr(toxicity, "coded", lambda *_: pytest.fail("read in the driver"))
+    for ids, want in zip(cases, wanted, strict=True):
+        labels = spark.createDataFrame([k for k in known if k[0] in ids], "doc_id long, toxic int")
+        assert toxicity.fit_on(docs, labels) == want
+
+
 @pytest.mark.parametrize("rows, low, high", [([], 0.4, 0.6), ([("a", 0)], 0.0, 0.1), ([("a", 1)], 0.9, 1.0), ([("", 0), ("", 1)], 0.0, 1.0)])
 def test_too_few_labels(rows, low, high):
     model = toxicity.fit(rows)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 import zlib
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -36,6 +37,8 @@ STEPS = (6, 18, 30)
 #: Parts of the rows, each measured with dictionaries of the others for the calibration.
 FOLDS = 4
 LEVEL = 6
+#: Measures of a text.
+MEASURES = 7
 
 
 _WORD = re.compile(r"\w+")
@@ -226,6 +229,39 @@ def _dictionaries(rows: list[tuple[str, int, int]], most: int) -> tuple[bytes, b
     return ordinary, _trained(TOXIC_BYTES, lacking)
 
 
+def _fitted_without(part: int, rows: list[tuple[str, int]], training_windows: int) -> tuple:
+    """Dictionaries of the rows outside a part, the places of the rows in it and their measures."""
+    fold = np.array([zlib.crc32(t.encode("utf-8")) % FOLDS for t, _ in rows])
+    counted = [(t, y, _number_of_windows(t)) for (t, y), f in zip(rows, fold, strict=True) if f != part]
+    known = _dictionaries(counted, training_windows)
+    own = np.flatnonzero(fold == part)
+    return known, own, np.array([measures(gains(rows[i][0], *known)) for i in own]).reshape(-1, MEASURES)
+
+
+def _calibrated(label: np.ndarray, measured: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Centre and spread of the measures and the weights of their terms."""
+    centre, spread = measured.mean(0), measured.std(0) + 1e-9
+    terms = _terms((measured - centre) / spread)
+    weights = np.zeros(terms.shape[1])
+    for _ in range(30):  # Newton's steps with a small penalty
+        p = _logistic(terms @ weights)
+        slope = terms.T @ (label - p) - weights
+        weights += np.linalg.solve((terms * (p * (1 - p))[:, None]).T @ terms + np.eye(len(weights)), slope)
+    return centre, spread, weights
+
+
+def _model(label: np.ndarray, parts: Iterable[tuple]) -> ToxicityModel:
+    """A model of the labels and of each part's ``_fitted_without``; the last part has no row, so its dictionaries are of all rows."""
+    if not len(label) or label.min() == label.max():
+        share = label.mean() if len(label) else 0.5
+        odds = np.log((share + 1e-3) / (1 - share + 1e-3))
+        return ToxicityModel(b" ", b" ", (0.0,) * MEASURES, (1.0,) * MEASURES, (float(odds), *(0.0,) * (MEASURES + 2)))
+    measured = np.zeros((len(label), MEASURES))
+    for known, own, found in parts:
+        measured[own] = found
+    return ToxicityModel(*known, *(tuple(map(float, x)) for x in _calibrated(label, measured)))
+
+
 def fit(rows: list[tuple[str | None, int]], training_windows: int = TRAINING_WINDOWS) -> ToxicityModel:
     """A model of ``(text, 0 or 1)`` rows.
 
@@ -240,25 +276,33 @@ def fit(rows: list[tuple[str | None, int]], training_windows: int = TRAINING_WIN
     """
     rows = [(t or "", int(y)) for t, y in rows]
     label = np.array([y for _, y in rows], float)
-    if not len(rows) or label.min() == label.max():
-        share = label.mean() if len(rows) else 0.5
-        odds = np.log((share + 1e-3) / (1 - share + 1e-3))
-        return ToxicityModel(b" ", b" ", (0.0,) * 7, (1.0,) * 7, (float(odds), *(0.0,) * 9))
-    fold = np.array([zlib.crc32(t.encode("utf-8")) % FOLDS for t, _ in rows])
-    rows = [(t, y, _number_of_windows(t)) for t, y in rows]
-    measured = np.zeros((len(rows), 7))
-    for part in range(FOLDS):
-        known = _dictionaries([r for r, f in zip(rows, fold, strict=True) if f != part], training_windows)
-        for i in np.flatnonzero(fold == part):
-            measured[i] = measures(gains(rows[i][0], *known))
-    centre, spread = measured.mean(0), measured.std(0) + 1e-9
-    terms = _terms((measured - centre) / spread)
-    weights = np.zeros(terms.shape[1])
-    for _ in range(30):  # Newton's steps with a small penalty
-        p = _logistic(terms @ weights)
-        slope = terms.T @ (label - p) - weights
-        weights += np.linalg.solve((terms * (p * (1 - p))[:, None]).T @ terms + np.eye(len(weights)), slope)
-    return ToxicityModel(*_dictionaries(rows, training_windows), *(tuple(map(float, x)) for x in (centre, spread, weights)))
+    return _model(label, (_fitted_without(part, rows, training_windows) for part in range(FOLDS + 1)))
+
+
+def _fit_in_parts(sample: DataFrame, training_windows: int) -> ToxicityModel:
+    """``fit`` on the rows ``text, y``, a group for each part; only dictionaries, labels and measures come to the driver."""
+    ship(sample.sparkSession)
+
+    def fitted(key: tuple, table: pa.Table) -> pa.Table:
+        part = key[0].as_py()
+        # In one order everywhere, so that the places are the same in all groups.
+        rows = sorted(zip(table["text"].to_pylist(), table["y"].to_pylist(), strict=True))
+        label = [y for _, y in rows]
+        known, own, found = (b"", b""), np.zeros(0, int), np.zeros((0, MEASURES))
+        if len(set(label)) > 1:
+            known, own, found = _fitted_without(part, rows, training_windows)
+        row = {"part": part, "ordinary": known[0], "toxic": known[1], "own": own.tolist(), "measured": found.ravel().tolist()}
+        return pa.Table.from_pylist([row | {"label": label if part == FOLDS else []}], schema)
+
+    lists = {"own": pa.int32(), "measured": pa.float64(), "label": pa.int32()}
+    blobs = [("part", pa.int32()), ("ordinary", pa.binary()), ("toxic", pa.binary())]
+    schema = pa.schema(blobs + [(name, pa.list_(kind)) for name, kind in lists.items()])
+    text = F.coalesce("text", F.lit("")).alias("text")
+    copies = sample.select(F.explode(F.lit(list(range(FOLDS + 1)))).alias("part"), text, "y")
+    types = "part int, ordinary binary, toxic binary, own array<int>, measured array<double>, label array<int>"
+    rows = sorted(copies.groupBy("part").applyInArrow(fitted, types).collect(), key=lambda r: r["part"])
+    parts = [((bytes(r["ordinary"]), bytes(r["toxic"])), r["own"], np.reshape(r["measured"], (-1, MEASURES))) for r in rows]
+    return _model(np.array(rows[-1]["label"] if rows else [], float), parts)
 
 
 def held_out(id_col: str = "doc_id"):
@@ -279,10 +323,11 @@ def fit_on(
     """Fit on labelled documents that are not held out.
 
     At most ``toxic_rows`` and ``ordinary_rows`` ids are drawn, those of the
-    smallest hashes; only their texts come to the driver, one for each id: that
-    of the smallest hash where documents share an id. An id with several labels
-    has the highest. Null labels and ids are left out. Of those texts, at most
-    ``training_windows`` windows of each label train its dictionary.
+    smallest hashes, with one text for each id: that of the smallest hash where
+    documents share an id. An id with several labels has the highest. Null labels
+    and ids are left out. Of those texts, at most ``training_windows`` windows of
+    each label train its dictionary. Each part of the calibration is a group of
+    its own with the texts drawn; none of them come to the driver.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
     known = known.where(F.col("y").isin(0, 1) & F.col("id").isNotNull() & ~held_out("id"))
@@ -293,14 +338,8 @@ def fit_on(
     chosen = chosen.union(known.where("y = 0").orderBy(*order).limit(ordinary_rows))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"].alias("text")
-    found = texts.join(F.broadcast(chosen), "id").groupBy("id", "y").agg(one).select("text", "y").toPandas()
-    rows = sorted(zip(found["text"].fillna(""), found["y"].tolist(), strict=True))
-    del found
-    model = fit(rows, training_windows)
-    # The driver has no more use for what it kept while it fitted.
-    for kept in (codes, _known, _compressors):
-        kept.cache_clear()
-    return model
+    found = texts.join(F.broadcast(chosen), "id").groupBy("id", "y").agg(one).select("text", "y")
+    return _fit_in_parts(found, training_windows)
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
