@@ -90,3 +90,41 @@ def test_a_shared_passage_makes_few_candidates(spark, monkeypatch):
         found = shingles.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
         assert found.where("doc_id <> component_id").isEmpty()
         assert sum(seen.values()) <= n
+
+
+def test_a_group_nearly_as_like_as_asked_for_makes_few_candidates(spark, monkeypatch):
+    """Pairs that the sketch can't tell from similar ones fail inside the join; their number was the square of the group."""
+    rng = random.Random(13)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(3000)]
+    base, rows = rng.choices(words, k=150), []
+    for i in range(400):
+        other = list(base)
+        for at in rng.sample(range(len(base)), rng.choice([1, 2, 3, 3, 4])):
+            other[at] = rng.choice(words)
+        rows.append((i, " ".join(other)))
+    own = [sets(t) for _, t in rows]
+    pairs = [(i, j) for i in range(len(own)) for j in range(i) if alike(own[i], own[j])]
+    seen, verified = [], shingles._verified
+    monkeypatch.setattr(shingles, "_verified", lambda pairs, *rest: seen.append(pairs.count()) or verified(pairs, *rest))
+    found = shingles.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {r.doc_id: r.component_id for r in found} == dict(enumerate(local_roots(len(own), *np.array(pairs).T).tolist()))
+    assert seen[1] <= 2 * len(rows)
+
+
+def test_smallest_hashes_keep_pairs_at_the_threshold(spark):
+    """Sets known whole are told apart; of larger ones, those at the threshold stay and those far from it go."""
+    rng = np.random.default_rng(14)
+    rows = []
+    for n in (50, 200, 240, 255, 256, 300, 2_000):
+        for share in (0.8, 0.6):
+            for _ in range(20):
+                whole = np.unique(rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2))
+                cut = int(len(whole) * (1 - share) / 2)
+                a, b = whole[rng.permutation(len(whole))], None
+                a, b = np.sort(a[cut:]), np.sort(a[: len(a) - cut])
+                rows.append((n, share, shingles.similar(a, b, 0.8), shingles.smallest(a), shingles.smallest(b)))
+    df = spark.createDataFrame(rows, "n int, share double, similar boolean, a array<int>, b array<int>")
+    got = df.select("n", "share", "similar", shingles.may_be_similar(df["a"], df["b"], 0.8).alias("may")).collect()
+    assert all(r.may for r in got if r.similar) and sum(r.similar for r in got) == 140
+    assert not any(r.may for r in got if r.share < 0.8)
+    assert shingles.smallest(np.empty(0, np.uint64)) == []

@@ -8,10 +8,11 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 
+from textloom.functions.arrays import let
 from textloom.llm.components import components
 from textloom.llm.ship import shared_folder, ship, tabled
 
@@ -22,6 +23,8 @@ BANDS, ROWS = 40, 8
 BITS = 256
 #: Deviations below the expected agreement at which a pair is still compared; beyond it lie 3 pairs in 100,000.
 DEVIATIONS = 4
+#: Smallest hashes that are kept of a set, all of a smaller one, as ints; what is known of both sets must agree as well.
+LEAST = 256
 #: Shingles hashed at once, rows handed over at once; pairs with one document that meet in one task.
 CHUNK, TEXTS = 1024, 256
 SALT = 500
@@ -54,6 +57,11 @@ def sketch(found: np.ndarray) -> tuple[list[int], list[int]]:
     return np.array(values, np.uint64).view(np.int64).tolist(), bits.view(np.int64).tolist()
 
 
+def smallest(found: np.ndarray) -> list[int]:
+    """The beginnings of the smallest hashes of a set, ascending, fewer than ``LEAST`` if these are all."""
+    return np.unique(found[: 2 * LEAST] >> np.uint64(33)).astype(np.int32)[:LEAST].tolist()
+
+
 def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     """Whether the Jaccard similarity of two sorted sets is at least ``similarity``."""
     both = len(np.intersect1d(a, b, assume_unique=True))
@@ -66,6 +74,29 @@ def least_agreement(similarity: float) -> int:
     return int(BITS * share - DEVIATIONS * (BITS * share * (1 - share)) ** 0.5)
 
 
+def may_be_similar(left: Column, right: Column, similarity: float) -> Column:
+    """Whether two sets of ``smallest`` hashes are as like as nearly all pairs of the similarity.
+
+    Below the lower end of the two both sets are known. Sets that are known
+    whole are told apart but for hashes that begin alike, others as a sample of
+    their union tells.
+    """
+    whole = F.greatest(F.size(left), F.size(right)) < LEAST
+    ends = [F.when(F.size(x) < LEAST, F.lit(2**31 - 1)).otherwise(F.element_at(x, -1)) for x in (left, right)]
+    end = F.least(*ends)
+
+    def enough(known: Column) -> Column:
+        both = F.size(F.array_intersect(known["a"], known["b"]))
+        seen = F.size(known["a"]) + F.size(known["b"]) - both
+        spread = DEVIATIONS * F.sqrt(seen * (similarity * (1 - similarity)))
+        return both >= similarity * seen - F.when(whole, F.lit(1.0)).otherwise(spread)
+
+    def below(x: Column) -> Column:
+        return F.when(whole, x).otherwise(let(end, lambda e: F.filter(x, lambda h: h <= e)))
+
+    return let(F.struct(below(left).alias("a"), below(right).alias("b")), enough)
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8
 ) -> DataFrame:
@@ -88,14 +119,14 @@ def near_duplicates(
     stored = spark.read.parquet(_store(docs, id_col, text_col, shingle))
     reps = tabled(stored.groupBy("node").agg(F.min("row").alias("rep")), "nodes")
     texts = stored.select("row", "text")
-    nodes = stored.select("row", "bits", "bands").join(reps.select(F.col("rep").alias("row")), "row", "left_semi")
+    nodes = stored.select("row", "bits", "least", "bands").join(reps.select(F.col("rep").alias("row")), "row", "left_semi")
     nodes = tabled(nodes, "sketches")
     bits = nodes.select("row", "bits")
     values = nodes.select("row", F.explode_outer("bands").alias("value")).where("value IS NOT NULL")
     shared = values.groupBy("value").agg(F.min("row").alias("b"), F.max("row").alias("last")).where("b < last")
     held = tabled(values.join(shared.select("value", "b"), "value"), "bands")
 
-    def agree(left: str, right: str) -> F.Column:
+    def agree(left: str, right: str) -> Column:
         apart = [F.bit_count(F.col(left)[i].bitwiseXOR(F.col(right)[i])) for i in range(BITS // 64)]
         return sum(apart[1:], apart[0]) <= BITS - least_agreement(similarity)
 
@@ -108,11 +139,14 @@ def near_duplicates(
     placed = tabled(placed.select("value", "row", F.coalesce("root", "row").alias("root")), "placed")
     sizes = placed.groupBy("value", "root").agg(F.count("*").alias("n"))
     most = sizes.groupBy("value").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.count("*").alias("roots"))
-    open_ = placed.join(most.where("roots > 1").select("value", "main"), "value").join(bits, "row")
+    open_ = placed.join(most.where("roots > 1").select("value", "main"), "value")
+    open_ = open_.join(nodes.select("row", "bits", "least"), "row")
     rest = open_.where("root <> main").select(
-        "value", F.col("row").alias("x"), F.col("root").alias("x_root"), F.col("bits").alias("its")
+        "value", F.col("row").alias("x"), F.col("root").alias("x_root"), F.col("bits").alias("its"), F.col("least").alias("its_least")
     )
-    apart = rest.join(open_, "value").where((F.col("x_root") != F.col("root")) & agree("its", "bits"))
+    # Of a large group of texts that are nearly as like as asked for, most pairs fail; these must not leave the join.
+    may = F.when(agree("its", "bits"), may_be_similar(F.col("its_least"), F.col("least"), similarity))
+    apart = rest.join(open_, (rest["value"] == open_["value"]) & (F.col("x_root") != F.col("root")) & may)
     more = apart.select(F.greatest("x", "row").alias("a"), F.least("x", "row").alias("b")).distinct()
     second = _verified(tabled(more.join(tried, ["a", "b"], "left_anti"), "pairs"), texts, shingle, similarity)
 
@@ -126,7 +160,7 @@ def near_duplicates(
 
 
 def _store(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> str:
-    """Write every row with a number, its node (a hash of the set), its bands and bits, and its text."""
+    """Write every row with a number, its node (a hash of the set), its sketches and its text."""
     ship(docs.sparkSession)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,23 +168,26 @@ def _store(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> str:
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(at, TEXTS)
-                nodes, values, bits = [], [], []
+                nodes, values, bits, least = [], [], [], []
                 for text in part.column(1):
                     found = shingles(text.as_py(), shingle)
                     nodes.append(xxhash.xxh3_128_digest(found.tobytes()))
+                    least.append(smallest(found))
                     for out, some in zip((values, bits), sketch(found), strict=True):
                         out.append(some)
                 rows = pa.array(np.arange(row, row + part.num_rows))
                 row += part.num_rows
                 longs = [pa.array(x, pa.list_(pa.int64())) for x in (values, bits)]
+                ints = pa.array(least, pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays(
-                    [rows, *part.columns, pa.array(nodes, pa.binary()), *longs], ["row", "id", "text", "node", "bands", "bits"]
+                    [rows, *part.columns, pa.array(nodes, pa.binary()), *longs, ints],
+                    ["row", "id", "text", "node", "bands", "bits", "least"],
                 )
 
     path = shared_folder(docs.sparkSession, "shingles")
     id_type = docs.select(F.col(id_col)).schema[0].dataType
     schema = StructType().add("row", "long").add("id", id_type).add("text", "string").add("node", "binary")
-    schema = schema.add("bands", ArrayType(LongType())).add("bits", ArrayType(LongType()))
+    schema = schema.add("bands", ArrayType(LongType())).add("bits", ArrayType(LongType())).add("least", ArrayType(IntegerType()))
     docs.select(F.col(id_col), F.col(text_col)).mapInArrow(of, schema).write.parquet(path)
     return path
 
