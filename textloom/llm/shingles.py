@@ -10,7 +10,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
+from pyspark.sql.types import ArrayType, LongType, StructType
 
 from textloom.functions.arrays import let
 from textloom.llm.components import components
@@ -62,6 +62,14 @@ def smallest(found: np.ndarray) -> list[int]:
     return np.unique(found[: 2 * LEAST] >> np.uint64(33)).astype(np.int32)[:LEAST].tolist()
 
 
+def _smallest(shingle: int):
+    @F.arrow_udf("array<int>")
+    def of(texts: pa.Array) -> pa.Array:
+        return pa.array([smallest(shingles(x.as_py(), shingle)) for x in texts], pa.list_(pa.int32()))
+
+    return of
+
+
 def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     """Whether the Jaccard similarity of two sorted sets is at least ``similarity``."""
     both = len(np.intersect1d(a, b, assume_unique=True))
@@ -119,7 +127,7 @@ def near_duplicates(
     stored = spark.read.parquet(_store(docs, id_col, text_col, shingle))
     reps = tabled(stored.groupBy("node").agg(F.min("row").alias("rep")), "nodes")
     texts = stored.select("row", "text")
-    nodes = stored.select("row", "bits", "least", "bands").join(reps.select(F.col("rep").alias("row")), "row", "left_semi")
+    nodes = stored.select("row", "bits", "bands").join(reps.select(F.col("rep").alias("row")), "row", "left_semi")
     nodes = tabled(nodes, "sketches")
     bits = nodes.select("row", "bits")
     values = nodes.select("row", F.explode_outer("bands").alias("value")).where("value IS NOT NULL")
@@ -140,7 +148,9 @@ def near_duplicates(
     sizes = placed.groupBy("value", "root").agg(F.count("*").alias("n"))
     most = sizes.groupBy("value").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.count("*").alias("roots"))
     open_ = placed.join(most.where("roots > 1").select("value", "main"), "value")
-    open_ = open_.join(nodes.select("row", "bits", "least"), "row")
+    # Only for rows that are still open: of all rows, these hashes would take half as much room as the texts.
+    known = texts.join(open_.select("row").distinct(), "row", "left_semi").select("row", _smallest(shingle)("text").alias("least"))
+    open_ = open_.join(bits, "row").join(tabled(known, "smallest"), "row")
     rest = open_.where("root <> main").select(
         "value", F.col("row").alias("x"), F.col("root").alias("x_root"), F.col("bits").alias("its"), F.col("least").alias("its_least")
     )
@@ -168,26 +178,23 @@ def _store(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> str:
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(at, TEXTS)
-                nodes, values, bits, least = [], [], [], []
+                nodes, values, bits = [], [], []
                 for text in part.column(1):
                     found = shingles(text.as_py(), shingle)
                     nodes.append(xxhash.xxh3_128_digest(found.tobytes()))
-                    least.append(smallest(found))
                     for out, some in zip((values, bits), sketch(found), strict=True):
                         out.append(some)
                 rows = pa.array(np.arange(row, row + part.num_rows))
                 row += part.num_rows
                 longs = [pa.array(x, pa.list_(pa.int64())) for x in (values, bits)]
-                ints = pa.array(least, pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays(
-                    [rows, *part.columns, pa.array(nodes, pa.binary()), *longs, ints],
-                    ["row", "id", "text", "node", "bands", "bits", "least"],
+                    [rows, *part.columns, pa.array(nodes, pa.binary()), *longs], ["row", "id", "text", "node", "bands", "bits"]
                 )
 
     path = shared_folder(docs.sparkSession, "shingles")
     id_type = docs.select(F.col(id_col)).schema[0].dataType
     schema = StructType().add("row", "long").add("id", id_type).add("text", "string").add("node", "binary")
-    schema = schema.add("bands", ArrayType(LongType())).add("bits", ArrayType(LongType())).add("least", ArrayType(IntegerType()))
+    schema = schema.add("bands", ArrayType(LongType())).add("bits", ArrayType(LongType()))
     docs.select(F.col(id_col), F.col(text_col)).mapInArrow(of, schema).write.parquet(path)
     return path
 
