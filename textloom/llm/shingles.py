@@ -149,7 +149,8 @@ def near_duplicates(
     most = sizes.groupBy("value").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.count("*").alias("roots"))
     open_ = placed.join(most.where("roots > 1").select("value", "main"), "value")
     # Only for rows that are still open: of all rows, these hashes would take half as much room as the texts.
-    known = texts.join(open_.select("row").distinct(), "row", "left_semi").select("row", _smallest(shingle)("text").alias("least"))
+    asked = tabled(open_.select("row").distinct(), "open")
+    known = texts.join(asked, "row", "left_semi").select("row", _smallest(shingle)("text").alias("least"))
     open_ = open_.join(bits, "row").join(tabled(known, "smallest"), "row")
     rest = open_.where("root <> main").select(
         "value", F.col("row").alias("x"), F.col("root").alias("x_root"), F.col("bits").alias("its"), F.col("least").alias("its_least")
